@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from riskpanel.operators import binning, features, impurity, labels, split, weights
 
+from riskpanel.session import materialise
+
 from .fixtures import (
     FEATURE_SQL,
     FEATURES,
@@ -106,7 +108,7 @@ def bin_edges(spark, sf_dir):
 
 
 def _binned(spark, sf_dir):
-    featured = featured_panel(spark, sf_dir)
+    featured = materialise(featured_panel(spark, sf_dir), "features")
     edges = binning.fit_bin_edges(_train_rows(featured), FEATURES)
     return binning.apply_bins(featured, edges, FEATURES)
 
@@ -138,7 +140,7 @@ def gini_by_unit(spark, sf_dir):
 
 def _split_rows(spark, sf_dir):
     cells = labelled_panel(spark, sf_dir, 1)
-    binned = features.build_features(cells, LEVEL)
+    binned = materialise(features.build_features(cells, LEVEL), "features")
     edges = binning.fit_bin_edges(_train_rows(binned), FEATURES)
     rows = _train_rows(binning.apply_bins(binned, edges, FEATURES))
     return weights.with_row_weights(rows, weights.class_weights(rows))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.operators import labels, panel, split
 from riskpanel.operators.features import build_features
+from riskpanel.session import materialise
 
 TRAIN_END, VAL_END = "1999-12-31", "2000-09-30"
 LEVEL = "nacion"
@@ -25,13 +26,16 @@ def r6(value: Column) -> Column:
 
 
 def nation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per nation and day; orders are reduced per customer and day first,
-    so a customer with a third of the orders does not skew the join."""
+    """Orders per nation and day, written once.
+
+    Orders are reduced per customer and day first, so a customer with a third of
+    the orders does not skew the join.
+    """
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     per_customer = panel.daily_counts(orders, "o_custkey", "o_orderdate")
     joined = per_customer.join(customers, F.col("unit_id").cast("bigint") == F.col("c_custkey"))
-    return panel.daily_counts(joined, "c_nationkey", "event_date", "n")
+    return materialise(panel.daily_counts(joined, "c_nationkey", "event_date", "n"), "daily")
 
 
 def region_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +55,8 @@ def split_panel(spark: SparkSession, sf_dir: str, future_weeks: int = 0, level:
 
 
 def labelled_panel(spark: SparkSession, sf_dir: str, future_weeks: int = 0) -> DataFrame:
-    cells = split_panel(spark, sf_dir, future_weeks)
+    """Fitting and applying the thresholds both read the panel, so it is written once."""
+    cells = materialise(split_panel(spark, sf_dir, future_weeks), "panel")
     return labels.with_label(cells, labels.fit_thresholds(cells))
 
 

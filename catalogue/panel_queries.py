@@ -46,7 +46,7 @@ def panel_meta(spark, sf_dir):
 
 def panel_untrimmed(spark, sf_dir):
     daily = event_type_daily(spark, sf_dir)
-    return panel.dense_panel(daily, panel.panel_meta(daily, trim=False))
+    return panel.dense_panel(daily, panel.read_meta(daily, trim=False))
 
 
 def panel_totals(spark, sf_dir):

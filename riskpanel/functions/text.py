@@ -52,8 +52,11 @@ def strip_accents(text: Column) -> Column:
     source, target, longer = _folding_rules()
     folded = F.translate(text, source, target)
     pattern = "[" + "".join(char for char, _ in longer) + "]"
-    pairs = F.array(*[F.struct(F.lit(a).alias("char"), F.lit(b).alias("plain")) for a, b in longer])
-    expanded = F.aggregate(pairs, folded, lambda acc, p: F.replace(acc, p["char"], p["plain"]))
+    # one literal: each entry is the character followed by its expansion
+    pairs = F.split(F.lit("\x00".join(char + plain for char, plain in longer)), "\x00")
+    expanded = F.aggregate(
+        pairs, folded, lambda acc, p: F.replace(acc, F.substring(p, 1, 1), F.substring(p, 2, 99))
+    )
     # the replacement chain only runs for rows that hold such a character
     has_longer = F.rlike(folded, F.lit(pattern))
     ascii_only = F.octet_length(text) == F.length(text)
@@ -74,3 +77,11 @@ def numeric_unit_id(code: Column) -> Column:
 def name_unit_id(name: Column) -> Column:
     """A unit named by text: the stripped string, spelling kept."""
     return F.trim(name.cast("string"))
+
+
+def fold(text: str | None) -> str:
+    """``normalise`` for a constant or a header name on the driver."""
+    if not isinstance(text, str):
+        return ""
+    decomposed = unicodedata.normalize("NFKD", text)
+    return " ".join("".join(c for c in decomposed if not unicodedata.combining(c)).upper().split())

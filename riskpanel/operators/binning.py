@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import exact_quantiles
+from .ordering import quantile_aggregates, running_total
 
 N_BINS = 32
 
@@ -26,29 +26,22 @@ def fit_bin_edges(rows: DataFrame, features: Sequence[str], n_bins: int = N_BINS
     the largest; a constant is cut below its value. Others are cut at their
     distinct interior quantiles, computed exactly on the distributed histogram.
     """
-    histogram = feature_histogram(rows, features)
-    sizes = histogram.groupBy("feature").agg(F.count("*").alias("distinct_values"))
-    sized = histogram.join(F.broadcast(sizes), "feature")  # one row per feature
-    few = (
-        sized.filter(F.col("distinct_values") <= n_bins)
-        .groupBy("feature")
-        .agg(F.sort_array(F.collect_list("value")).alias("v"))  # at most n_bins values
-        .select(
-            "feature",
-            F.when(F.size("v") > 1, F.slice("v", F.lit(1), F.size("v") - 1))
-            .otherwise(F.array(F.col("v")[0] - 1))
-            .alias("edges"),
-        )
+    histogram = feature_histogram(rows, features).withColumn("one", F.lit(1))
+    ranked = running_total(histogram, "value", ["cells", "one"], ["feature"])
+    few = F.col("one_total") <= n_bins
+    aggregates, quantiles = quantile_aggregates("value", "cells", [k / n_bins for k in range(1, n_bins)])
+    fitted = ranked.groupBy("feature").agg(
+        F.sort_array(F.collect_list(F.when(few, F.col("value")))).alias("v"),  # at most n_bins values
+        *aggregates,
+    )
+    below_largest = F.slice("v", F.lit(1), F.size("v") - 1)
+    return fitted.select(
+        "feature",
+        F.when(F.size("v") == 0, F.array_distinct(quantiles))
+        .when(F.size("v") == 1, F.array(F.col("v")[0] - 1))
+        .otherwise(below_largest)
+        .alias("edges"),
     )
-    probabilities = [k / n_bins for k in range(1, n_bins)]
-    many = exact_quantiles(
-        sized.filter(F.col("distinct_values") > n_bins).select("feature", "value", "cells"),
-        "value",
-        "cells",
-        probabilities,
-        ["feature"],
-    ).select("feature", F.array_distinct("quantiles").alias("edges"))
-    return few.unionByName(many)
 
 
 def apply_bins(rows: DataFrame, edges: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -54,6 +54,33 @@ def running_total(
     )
 
 
+def quantile_aggregates(
+    value: str, frequency: str, probabilities: Sequence[float]
+) -> tuple[list[Column], Column]:
+    """Aggregates over ``running_total`` rows, and the interpolated quantiles from them.
+
+    Each order statistic falls into exactly one row of the histogram, so a plain
+    conditional maximum finds it.
+    """
+    before, total = F.col(f"{frequency}_before"), F.col(f"{frequency}_total")
+
+    def at(rank: Column) -> Column:
+        inside = (before <= rank) & (rank < before + F.col(frequency))
+        return F.max(F.when(inside, F.col(value)))
+
+    aggregates = [F.max(total).alias("total")]
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (total - 1)
+        aggregates += [at(F.floor(position)).alias(f"lo_{i}"), at(F.ceil(position)).alias(f"hi_{i}")]
+
+    def interpolated(i: int, p: float) -> Column:
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        lo, hi = F.col(f"lo_{i}").cast("double"), F.col(f"hi_{i}").cast("double")
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position)))
+
+    return aggregates, F.array(*[interpolated(i, p) for i, p in enumerate(probabilities)])
+
+
 def exact_quantiles(
     histogram: DataFrame,
     value: str,
@@ -66,28 +93,9 @@ def exact_quantiles(
     Returns ``(*groups, quantiles ARRAY<DOUBLE>)`` in the order of ``probabilities``.
     """
     groups = list(groups)
+    aggregates, quantiles = quantile_aggregates(value, frequency, probabilities)
     ranked = running_total(histogram, value, [frequency], groups)
-    before, total = F.col(f"{frequency}_before"), F.col(f"{frequency}_total")
-    position = [F.lit(float(p)) * (total - 1) for p in probabilities]
-
-    def covers(rank):
-        return (before <= rank) & (rank < before + F.col(frequency))
-
-    # each order statistic falls into exactly one row of the histogram
-    picked = ranked.groupBy(*groups).agg(
-        F.max(total).alias("total"),
-        *[F.max(F.when(covers(F.floor(x)), F.col(value))).alias(f"lo_{i}") for i, x in enumerate(position)],
-        *[F.max(F.when(covers(F.ceil(x)), F.col(value))).alias(f"hi_{i}") for i, x in enumerate(position)],
-    )
-
-    def interpolated(i, p):
-        x = F.lit(float(p)) * (F.col("total") - 1)
-        lo, hi = F.col(f"lo_{i}").cast("double"), F.col(f"hi_{i}").cast("double")
-        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (x - F.floor(x)))
-
-    return picked.select(
-        *groups, F.array(*[interpolated(i, p) for i, p in enumerate(probabilities)]).alias("quantiles")
-    )
+    return ranked.groupBy(*groups).agg(*aggregates).select(*groups, quantiles.alias("quantiles"))
 
 
 def with_ordinal(rows: DataFrame, key: str, name: str) -> DataFrame:

@@ -6,7 +6,9 @@ takes care of hot units before the shuffle); all later steps read that table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date as Date
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +41,6 @@ def panel_meta(daily: DataFrame, *, origin: Date | str | None = None, trim: bool
     the earliest date. ``trim`` drops a trailing week that is not complete.
     """
     first_monday = week_start(F.min("event_date")) if origin is None else F.lit(origin).cast("date")
-    # sum(n) keeps this aggregate on top of the very exchange the panel uses
     bounds = daily.agg(
         first_monday.alias("origin"), F.max("event_date").alias("last_date"), F.sum("n").alias("events")
     )
@@ -56,14 +57,33 @@ def panel_meta(daily: DataFrame, *, origin: Date | str | None = None, trim: bool
     )
 
 
-def meta_column(meta: DataFrame) -> Column:
-    """The single meta row as a struct column (an uncorrelated scalar subquery)."""
-    return meta.select(F.struct(*meta.columns)).scalar()
+@dataclass(frozen=True)
+class PanelMeta:
+    """The bounds of a panel, read to the driver once (a single row)."""
+
+    origin: Date
+    last_date: Date
+    events: int
+    n_weeks: int
+    weeks_dropped: int
+
+    @property
+    def next_week(self) -> Date:
+        """Monday of the first week that is not observed."""
+        return self.origin + timedelta(weeks=self.n_weeks)
+
+
+def read_meta(daily: DataFrame, *, origin: Date | str | None = None, trim: bool = True) -> PanelMeta:
+    """Collect the bounds; an empty table is an error, not an empty panel."""
+    row = panel_meta(daily, origin=origin, trim=trim).first()
+    if row["last_date"] is None:
+        raise ValueError("no events are left: check category, area and dates")
+    return PanelMeta(**row.asDict())
 
 
 def dense_panel(
     daily: DataFrame,
-    meta: DataFrame | None = None,
+    meta: PanelMeta | None = None,
     *,
     units: DataFrame | None = None,
     future_weeks: int = 0,
@@ -72,39 +92,33 @@ def dense_panel(
 
     Days without events count 0. ``units`` freezes the catalogue: other units are
     left out. One unobserved week may be appended, with ``n`` NULL. The result is
-    hash-partitioned by unit, which every later per-unit window reuses.
+    hash-partitioned by unit, which every later per-unit window reuses; a unit
+    has at most one row per calendar day, however many events it holds.
     """
     if future_weeks not in (0, 1):
         raise ValueError("only the week after the last observed one can be appended")
-    meta = panel_meta(daily) if meta is None else meta
+    meta = read_meta(daily) if meta is None else meta
     catalogue = (daily if units is None else units).select("unit_id").distinct()
+    origin = F.lit(meta.origin)
+    observed = max(meta.n_weeks, 0) * 7
+    last_day = observed + future_weeks * 7 - 1
 
-    observed = F.col("m.n_weeks") * 7
-    days = F.sequence(F.lit(0), (F.col("m.n_weeks") + future_weeks) * 7 - 1)
-    blank = (
-        catalogue.withColumn("m", meta_column(meta))
-        .select("unit_id", "m", F.explode(F.when(F.col("m.n_weeks") > 0, days)).alias("day"))
-        .select("unit_id", "day", F.when(F.col("day") < observed, F.lit(0)).cast("bigint").alias("n"), "m.origin")
+    days = F.sequence(F.lit(0), F.lit(last_day)) if last_day >= 0 else F.array().cast("array<int>")
+    blank = catalogue.select("unit_id", F.explode(days).alias("day")).withColumn(
+        "n", F.when(F.col("day") < observed, F.lit(0)).cast("bigint")
     )
-    counted = (
-        daily.withColumn("m", meta_column(meta))
-        .withColumn("day", F.datediff("event_date", "m.origin"))
-        .filter((F.col("day") >= 0) & (F.col("day") < observed))
-        .select("unit_id", "day", "n", "m.origin")
+    counted = daily.select("unit_id", F.datediff("event_date", origin).alias("day"), "n").filter(
+        (F.col("day") >= 0) & (F.col("day") < observed)
     )
     if units is not None:
         counted = counted.join(catalogue, "unit_id", "left_semi")
-    cells = (
-        blank.unionByName(counted)
-        .repartition("unit_id")
-        .groupBy("unit_id", "day", "origin")
-        .agg(F.sum("n").alias("n"))
-    )
+    cells = blank.unionByName(counted).repartition("unit_id").groupBy("unit_id", "day").agg(F.sum("n").alias("n"))
+    week = F.floor(F.col("day") / 7).cast("int")
     return cells.select(
         "unit_id",
         F.pmod("day", F.lit(7)).alias("dow"),
-        F.floor(F.col("day") / 7).cast("int").alias("week_idx"),
-        F.date_add("origin", (F.floor(F.col("day") / 7) * 7).cast("int")).alias("week_start"),
+        week.alias("week_idx"),
+        F.date_add(origin, week * 7).alias("week_start"),
         "n",
     )
 
