@@ -295,7 +295,7 @@ def _verdict_sql(name, first, last, today, without, strict):
 
 ORACLES = {
     "normalise_text": r"""WITH t AS (SELECT doc_id,
-            trim(regexp_replace(upper(strip_accents(text)), '\s+', ' ', 'g')) AS v FROM documents)
+            trim(regexp_replace(upper(replace(strip_accents(text), 'ß', 'ss')), '\s+', ' ', 'g')) AS v FROM documents)
         SELECT doc_id, CAST(length(v) AS INTEGER) AS chars, md5(v) AS digest FROM t""",
     "funnel_audit": f"""WITH {EVENT_CTE}, s AS (SELECT count(*) AS raw, count(*) FILTER (c1) AS after_category,
                count(*) FILTER (c2) AS after_area, count(*) FILTER (c3) AS after_date, count(*) FILTER (c4) AS valid,

@@ -51,14 +51,15 @@ def strip_accents(text: Column) -> Column:
     """Compatibility-decompose and drop combining marks."""
     source, target, longer = _folding_rules()
     folded = F.translate(text, source, target)
-    pattern = "[" + "".join(char for char, _ in longer) + "]"
+    # translate looks each character up in a hash table; a regex class this long is slow
+    without_longer = F.translate(folded, "".join(char for char, _ in longer), "")
     # one literal: each entry is the character followed by its expansion
     pairs = F.split(F.lit("\x00".join(char + plain for char, plain in longer)), "\x00")
     expanded = F.aggregate(
         pairs, folded, lambda acc, p: F.replace(acc, F.substring(p, 1, 1), F.substring(p, 2, 99))
     )
     # the replacement chain only runs for rows that hold such a character
-    has_longer = F.rlike(folded, F.lit(pattern))
+    has_longer = F.length(without_longer) < F.length(folded)
     ascii_only = F.octet_length(text) == F.length(text)
     return F.when(ascii_only, text).when(has_longer, expanded).otherwise(folded)
 
