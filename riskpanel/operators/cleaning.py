@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fold, name_unit_id, normalise, numeric_unit_id
+from ..functions.text import fold, is_foldable, name_unit_id, normalise, numeric_unit_id
 
 # How many characters of the category must occur, the day-first
 # date pattern, and the column each unit level is taken from.
@@ -44,12 +44,22 @@ class Scope:
 
 
 def in_category(text: Column, category: str) -> Column:
-    """The normalised text contains the first letters of the category."""
-    return F.contains(normalise(text), F.lit(fold(category)[:CATEGORY_ROOT]))
+    """The normalised text contains the first letters of the category.
+
+    Plain upper case decides most rows; only other texts are folded.
+    """
+    root = fold(category)[:CATEGORY_ROOT]
+    if " " in root:
+        return F.contains(normalise(text), F.lit(root))
+    plain = F.contains(F.upper(text), F.lit(root))
+    return F.coalesce(plain, F.lit(False)) | (is_foldable(text) & F.contains(normalise(text), F.lit(root)))
 
 
 def in_area(text: Column, area: str) -> Column:
-    return normalise(text) == F.lit(fold(area))
+    """The normalised text equals the area; folded only where that could matter."""
+    wanted = fold(area)
+    plain = F.coalesce(F.upper(text) == wanted, F.lit(wanted == ""))
+    return plain | (is_foldable(text) & (normalise(text) == wanted))
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -61,6 +61,16 @@ def weighted(rows: DataFrame, power: float = 1.0) -> DataFrame:
     return with_row_weights(rows.drop("weight"), class_weights(rows, power=power))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Training rows over all cores.
+
+    A small panel arrives in one or two files, which would leave the iterative
+    learners with as many tasks; a large one is cut into a million rows each.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, rows.count() // 1_000_000))
+
+
 def _pipeline(features: Sequence[str], classifier: Estimator, *, scaled: bool = False) -> Pipeline:
     stages: list = [VectorAssembler(inputCols=list(features), outputCol="features")]
     if scaled:  # fitted with the pipeline, hence on training rows only
@@ -93,7 +103,7 @@ def forest(
         bootstrap=bootstrap,
         seed=seed,
     )
-    return _pipeline(features, classifier).fit(weighted(train, power))
+    return _pipeline(features, classifier).fit(_spread(weighted(train, power)))
 
 
 def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_iter: int = 2000) -> PipelineModel:
@@ -112,7 +122,7 @@ def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_i
         standardization=False,
         maxIter=max_iter,
     )
-    return _pipeline(features, classifier, scaled=True).fit(weighted(train))
+    return _pipeline(features, classifier, scaled=True).fit(_spread(weighted(train)))
 
 
 def boosting(
@@ -122,7 +132,7 @@ def boosting(
     binary = GBTClassifier(
         labelCol="label", weightCol="weight", maxIter=iterations, stepSize=rate, maxDepth=depth, maxBins=MAX_BINS, seed=SEED
     )
-    return _pipeline(features, OneVsRest(classifier=binary, labelCol="label", weightCol="weight")).fit(weighted(train))
+    return _pipeline(features, OneVsRest(classifier=binary, labelCol="label", weightCol="weight")).fit(_spread(weighted(train)))
 
 
 def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -147,7 +157,7 @@ def perceptron(
     classifier = MultilayerPerceptronClassifier(
         featuresCol="scaled", labelCol="label", layers=[len(features), *layers, 3], maxIter=max_iter, seed=SEED
     )
-    return _pipeline(features, classifier, scaled=True).fit(balanced_repeats(train, keys))
+    return _pipeline(features, classifier, scaled=True).fit(_spread(balanced_repeats(train, keys)))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import fold
 from ..operators.cleaning import Scope
+from ..session import materialise
 
 # Separators in the order they are tried, the number of columns
 # that makes one fit, and the header names known for each canonical column.
@@ -80,19 +81,23 @@ def _header_fields(line: str, min_columns: int) -> tuple[str, tuple[str, ...]] |
 def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int = MIN_COLUMNS) -> Listing:
     """Every ``*.csv`` below the paths with its dialect (one result row per file)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = _lines(spark, paths).withColumn("line_id", F.monotonically_increasing_id())
     first = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
-    # lines of a file's first block are read in order within one partition
-    files = (
-        _lines(spark, paths)
-        .withColumn("line_id", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(
-            F.min_by("value", F.when(first, F.col("line_id"))).alias("header"),
+    # Fixed-width aggregates keep the whole-text pass a hash aggregate; the header
+    # texts are then fetched by line number. One row per file is broadcast, and a
+    # file's first block is read in order within one partition.
+    files = materialise(
+        lines.groupBy("path").agg(
+            F.min(F.when(first, F.col("line_id"))).alias("line_id"),
             F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        )
+        ),
+        "files",
+    )
+    headers = lines.join(F.broadcast(files.select("line_id")), "line_id").select("line_id", "value")
+    as_latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    rows = files.join(headers, "line_id", "left").select(
+        "path", "utf8", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin).alias("header")
     )
-    as_latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
-    rows = files.select("path", "utf8", F.when(F.col("utf8"), F.col("header")).otherwise(as_latin).alias("header"))
     readable: dict[Dialect, list[str]] = defaultdict(list)
     unreadable = []
     found = rows.orderBy("path").collect()
@@ -131,7 +136,8 @@ def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) ->
     unquoted = F.regexp_replace(_CORRUPT, r'"([^"]|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(dialect.separator), F.lit(""))) + 1
     too_long = F.coalesce(fields > width, F.lit(False))
-    return rows.withColumn("archivo", F.col("_metadata.file_name")).filter(~too_long).drop(_CORRUPT)
+    kept = rows.filter(~too_long)
+    return kept.select(*[f"c{i}" for i in range(width)], F.col("_metadata.file_name").alias("archivo"))
 
 
 def resolve_columns(header: Sequence[str]) -> dict[str, int]:
