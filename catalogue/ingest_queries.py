@@ -230,6 +230,13 @@ def history_append(spark, sf_dir):
     return history.read_history(spark, path).groupBy("month", "batch").agg(F.count("*").alias("n"))
 
 
+def history_daily(spark, sf_dir):
+    """The daily counts kept next to the events, with the months they cover."""
+    path = fresh_path(spark, "history")
+    history.write_batch(_order_events(spark, sf_dir), path, "all")
+    return history.read_daily(spark, path).select("unit_id", "event_date", "n", "month")
+
+
 def history_union(spark, sf_dir):
     """History plus batch without de-duplication."""
     events = _order_events(spark, sf_dir)
@@ -264,6 +271,7 @@ QUERIES = {
     "month_overlap": month_overlap,
     "unknown_units": unknown_units,
     "history_append": history_append,
+    "history_daily": history_daily,
     "history_union": history_union,
     "frozen_panel": frozen_panel,
     "before_origin": before_origin,
@@ -340,6 +348,8 @@ ORACLES = {
     "history_append": f"""WITH {ORDER_CTE} SELECT strftime(d, '%Y-%m') AS month,
             CASE WHEN d <= DATE '{HISTORY_END}' THEN 'seed' ELSE 'later' END AS batch, count(*) AS n
         FROM oe GROUP BY 1, 2""",
+    "history_daily": f"""WITH {ORDER_CTE}
+        SELECT unit_id, d AS event_date, count(*) AS n, strftime(d, '%Y-%m') AS month FROM oe GROUP BY 1, 2""",
     "history_union": f"""WITH {ORDER_CTE} SELECT unit_id, o_orderstatus AS canton,
             count(*) + count(*) FILTER (d BETWEEN DATE '2000-07-01' AND DATE '2000-07-31') AS n
         FROM oe GROUP BY 1, 2""",

@@ -10,6 +10,10 @@ from riskpanel.operators import panel, split
 from .fixtures import (
     EVENTS_SQL,
     HOLIDAY_SQL,
+    LATE_EVENTS_SQL,
+    TRAIN_END,
+    VAL_END,
+    late_daily,
     nation_daily,
     nation_panel,
     panel_sql,
@@ -55,7 +59,7 @@ def panel_totals(spark, sf_dir):
 
 
 def empty_weeks(spark, sf_dir):
-    """Weeks without urgent orders of the units' busiest months: gaps on purpose."""
+    """Only three months of each year are kept, so that weeks without events exist."""
     orders = table(spark, sf_dir, "orders").filter(F.month("o_orderdate").isin(2, 3, 7))
     daily = panel.daily_counts(orders, "o_orderpriority", "o_orderdate")
     return panel.empty_weeks(panel.dense_panel(daily))
@@ -133,9 +137,20 @@ def temporal_split(spark, sf_dir):
     return cells.groupBy("week_idx", "week_start", "split").agg(F.count("*").alias("cells"))
 
 
+def frozen_train_weeks(spark, sf_dir):
+    """Weeks of the first 300 that stay training weeks, whatever is added later."""
+    cells = split.frozen_train_weeks(nation_panel(spark, sf_dir, 1), 300, TRAIN_END)
+    return cells.groupBy("week_idx", "split").agg(F.count("*").alias("cells"))
+
+
+def training_rows(spark, sf_dir):
+    """Eligible cells of the training and validation weeks, summed per unit."""
+    rows = split.model_rows(split.with_eligibility(_late_cells(spark, sf_dir)), "train", "val")
+    return rows.groupBy("unit_id", "split").agg(F.count("*").alias("cells"), F.sum("n").alias("events"))
+
+
 def eligible_units(spark, sf_dir):
-    """Units seen in training; urgent orders of customers with a low balance only,
-    so that some units appear late or never."""
+    """Nations with shipments in the training weeks; nation 3 appears only later."""
     return _late_pairs(spark, sf_dir, "unit").groupBy("unit_id").agg(F.max("eligible").alias("eligible"))
 
 
@@ -144,21 +159,12 @@ def eligible_unit_days(spark, sf_dir):
 
 
 def _late_pairs(spark, sf_dir, level):
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-        F.col("l_suppkey") == F.col("s_suppkey"),
-    )
-    # nation 3 only ships late in the period
-    kept = (F.col("s_nationkey") != 3) | (F.col("l_shipdate") >= F.lit("2000-06-01"))
-    daily = panel.daily_counts(items.filter(kept), "s_nationkey", "l_shipdate")
-    cells = split.temporal_split(panel.dense_panel(daily), "1999-12-31", "2000-09-30")
-    return split.eligible_pairs(cells, level)
+    return split.eligible_pairs(_late_cells(spark, sf_dir), level)
+
 
+def _late_cells(spark, sf_dir):
+    return split.temporal_split(panel.dense_panel(late_daily(spark, sf_dir)), TRAIN_END, VAL_END)
 
-LATE_EVENTS_SQL = """
-ev AS (SELECT CAST(s_nationkey AS VARCHAR) AS unit_id, CAST(l_shipdate AS DATE) AS d
-       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-       WHERE s_nationkey <> 3 OR l_shipdate >= TIMESTAMP '2000-06-01')"""
 
 QUERIES = {
     "panel_dense_counts": nation_panel,
@@ -180,6 +186,8 @@ QUERIES = {
     "holidays": holidays,
     "easter": easter,
     "temporal_split": temporal_split,
+    "frozen_train_weeks": frozen_train_weeks,
+    "training_rows": training_rows,
     "eligible_units": eligible_units,
     "eligible_unit_days": eligible_unit_days,
 }
@@ -247,6 +255,13 @@ ORACLES = {
         SELECT easters.y AS year, easter, orders FROM easters JOIN c USING (y)""",
     "temporal_split": f"""WITH {split_sql(1)}
         SELECT week_idx, week_start, split, count(*) AS cells FROM sp GROUP BY 1, 2, 3""",
+    "frozen_train_weeks": f"""WITH {panel_sql(future=1)}
+        SELECT week_idx, CASE WHEN n IS NULL THEN 'future'
+                              WHEN week_idx BETWEEN 12 AND 299 AND week_start <= DATE '{TRAIN_END}' THEN 'train'
+                              ELSE 'later' END AS split, count(*) AS cells FROM panel GROUP BY 1, 2""",
+    "training_rows": f"""WITH {split_sql(0, 'unit', LATE_EVENTS_SQL)}
+        SELECT unit_id, split, count(*) AS cells, CAST(sum(n) AS BIGINT) AS events FROM sp
+        WHERE eligible AND split IN ('train', 'val') GROUP BY 1, 2""",
     "eligible_units": f"WITH {split_sql(0, 'unit', LATE_EVENTS_SQL)} SELECT DISTINCT unit_id, eligible FROM sp",
     "eligible_unit_days": f"""WITH {split_sql(0, 'unit_day', LATE_EVENTS_SQL)}
         SELECT DISTINCT unit_id, dow, eligible FROM sp""",

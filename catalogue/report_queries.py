@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from riskpanel.operators import baselines, labels, metrics, panel, risk, split
 from riskpanel.session import materialise
 
-from .fixtures import TRAIN_END, VAL_END, label_sql, labelled_panel, r6, table
-from .panel_queries import LATE_EVENTS_SQL
+from .fixtures import LATE_EVENTS_SQL, TRAIN_END, VAL_END, label_sql, labelled_panel, late_daily, r6, table
 
 KEYS = ("unit_id", "dow", "week_idx")
 MODELS = ("persistence", "mode", "majority")
@@ -69,16 +68,6 @@ def model_comparison(spark, sf_dir):
     return _rounded(both, *scores).orderBy(F.desc("f1_macro"), "model")
 
 
-def late_daily(spark, sf_dir):
-    """Shipments per supplier nation; nation 3 only ships after training ended."""
-    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
-    per_supplier = panel.daily_counts(items, "l_suppkey", "l_shipdate")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = per_supplier.join(suppliers, F.col("unit_id").cast("bigint") == F.col("s_suppkey"))
-    kept = (F.col("s_nationkey") != 3) | (F.col("event_date") >= F.lit("2000-06-01").cast("date"))
-    return materialise(panel.daily_counts(joined.filter(kept), "s_nationkey", "event_date", "n"), "daily")
-
-
 def nation_catalogue(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")

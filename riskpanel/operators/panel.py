@@ -219,8 +219,10 @@ def unit_attributes(
 
     A unit without a name is called by its id, one without an area gets ''.
     """
+    # repeated descriptions shrink to one row before any ordering is compared
+    seen = events.select(F.col(unit).cast("string").alias("unit_id"), name, area, *order).distinct()
     rank = F.struct(*[F.col(c) for c in order], F.col(name), F.col(area))
-    first = events.groupBy(F.col(unit).cast("string").alias("unit_id")).agg(
+    first = seen.groupBy("unit_id").agg(
         F.min_by(name, F.when(F.col(name).isNotNull(), rank)).alias("name"),
         F.min_by(area, F.when(F.col(area).isNotNull(), rank)).alias("area"),
     )

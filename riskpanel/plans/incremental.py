@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import binning, features, models, panel, risk, split, validation
 from ..operators.cleaning import Scope, clean_events
@@ -48,6 +49,10 @@ def score_next_week(daily: DataFrame, package: Package) -> tuple[Date, DataFrame
     return meta.next_week, risk.risk_matrix(scored, package.units, meta.next_week)
 
 
+def _records(daily: DataFrame) -> int:
+    return daily.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
 def score_batch(
     events: DataFrame,
     package: Package,
@@ -65,19 +70,16 @@ def score_batch(
     spark = events.sparkSession
     events = materialise(store.history_columns(events), "batch")
     new_daily = panel.daily_counts(events, "unit_id", "event_date")
-    history = store.read_history(spark, history_path)
-    if history is None:
-        history = store.empty_history(spark)
-    months = store.loaded_months(history)
+    loaded = store.read_daily(spark, history_path)
+    months = store.loaded_months(loaded)
     verdict = validation.batch_verdict(new_daily, package.units, months, today, strict=strict).first()
-    old_records = history.count()
+    old_records = _records(loaded)
     if not verdict["accepted"]:
         return ScoringResult(False, verdict["reason"], False, 0, old_records)
 
-    both = store.append(history, events)
-    daily = materialise(panel.daily_counts(both, "unit_id", "event_date"), "daily")
+    both = loaded.select("unit_id", "event_date", "n").unionByName(new_daily)
+    daily = materialise(panel.daily_counts(both, "unit_id", "event_date", "n"), "daily")
     target_week, matrix = score_next_week(daily, package)
-    # written before the history changes, which the lazy plan would otherwise re-read
     matrix = materialise(matrix, "matrix")
     summary = {r["nivel"]: r["cells"] for r in risk.level_summary(matrix).collect()}
     if save:
@@ -108,7 +110,6 @@ def score_csv(
     try:
         raw = read_incidents(spark, paths, scope)
     except (FileNotFoundError, ValueError) as unusable:
-        history = store.read_history(spark, history_path)
-        kept = 0 if history is None else history.count()
+        kept = _records(store.read_daily(spark, history_path))
         return ScoringResult(False, f"unusable: {unusable}", False, 0, kept)
     return score_batch(clean_events(raw, scope), package, history_path, batch, today, **options)

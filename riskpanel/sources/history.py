@@ -1,7 +1,9 @@
 """The accumulated history: clean events in Parquet, partitioned by month and batch.
 
 A batch owns its partitions, so writing it again after a lost executor or a
-restarted job replaces them instead of adding the events twice.
+restarted job replaces them instead of adding the events twice. Next to the
+events lie their daily counts, one row per unit and day: scoring and validation
+read only those, so a month's run does not scan the raw history again.
 """
 
 from __future__ import annotations
@@ -12,9 +14,12 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.calendar import month_key
 from ..operators.cleaning import Scope, clean_events, require_rows
+from ..operators.panel import daily_counts
+from ..session import materialise
 from .csv_files import read_incidents
 
 HISTORY_SCHEMA = "event_date date, unit_id string, parroquia string, canton string, archivo string"
+DAILY_SCHEMA = "unit_id string, event_date date, n bigint"
 _PARTITIONS = "month string, batch string"
 
 
@@ -26,30 +31,49 @@ def history_columns(events: DataFrame) -> DataFrame:
     return events.select("event_date", "unit_id", "parroquia", "canton", "archivo")
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame | None:
-    """The history, or None when nothing has been written yet."""
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        return spark.read.schema(f"{HISTORY_SCHEMA}, {_PARTITIONS}").parquet(path)
+        return spark.read.schema(f"{schema}, {_PARTITIONS}").parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def write_batch(events: DataFrame, path: str, batch: str) -> None:
-    """Append a batch, replacing only what the same batch wrote before."""
-    rows = history_columns(events).withColumn("month", month_key(F.col("event_date"))).withColumn("batch", F.lit(batch))
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """All events, or None when nothing has been written yet."""
+    return _read(spark, f"{path}/events", HISTORY_SCHEMA)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Daily counts of all batches, one row per unit, day and batch."""
+    daily = _read(spark, f"{path}/daily", DAILY_SCHEMA)
+    return spark.createDataFrame([], f"{DAILY_SCHEMA}, {_PARTITIONS}") if daily is None else daily
+
+
+def _replace_partitions(rows: DataFrame, path: str, batch: str) -> None:
+    keyed = rows.withColumn("month", month_key(F.col("event_date"))).withColumn("batch", F.lit(batch))
     (
-        rows.write.partitionBy("month", "batch")
+        keyed.write.partitionBy("month", "batch")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
     )
 
 
-def loaded_months(history: DataFrame) -> DataFrame:
-    """Distinct months, answered from the partition folders alone."""
-    return history.select("month").distinct()
+def write_batch(events: DataFrame, path: str, batch: str) -> None:
+    """Append a batch, replacing only what the same batch wrote before.
+
+    The daily counts come last: until they are there, the batch does not count
+    as loaded and a rerun writes both again.
+    """
+    _replace_partitions(history_columns(events), f"{path}/events", batch)
+    _replace_partitions(daily_counts(events, "unit_id", "event_date"), f"{path}/daily", batch)
+
+
+def loaded_months(daily: DataFrame) -> DataFrame:
+    """Distinct months that are loaded."""
+    return daily.select("month").distinct()
 
 
 def load_or_build_history(
@@ -61,7 +85,7 @@ def load_or_build_history(
         return history
     if not build or seed_paths is None:
         return empty_history(spark)
-    events = clean_events(read_incidents(spark, seed_paths, scope), scope)
+    events = materialise(history_columns(clean_events(read_incidents(spark, seed_paths, scope), scope)), "seed")
     require_rows(events)
     write_batch(events, path, "seed")
     return read_history(spark, path)

@@ -202,4 +202,4 @@ def test_stream_scores_each_new_file_once(spark, package, store, tmp_path):
     _csv(inbox, "2023-09.csv", _days(D(2023, 9, 1), D(2023, 9, 30)))
     run()
     assert seen["2023-09.csv"].accepted and seen["2023-09.csv"].target_week == D(2023, 9, 25)
-    assert history.loaded_months(history.read_history(spark, store)).filter("month >= '2023-08'").count() == 2
+    assert history.loaded_months(history.read_daily(spark, store)).filter("month >= '2023-08'").count() == 2
