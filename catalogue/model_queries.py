@@ -1,4 +1,4 @@
-"""Fitted classifiers over the nation panel. Results depend on the learners, so
+"""Fitted classifiers over the region panel. Results depend on the learners, so
 these have no SQL equivalent; tests hold them against the baselines instead.
 
 The grids here are a corner of the library's defaults, to keep a run short.
@@ -15,7 +15,7 @@ from riskpanel.plans import incremental, training
 from riskpanel.session import fresh_path, materialise
 from riskpanel.sources import artefacts, history
 
-from .fixtures import LEVEL, TRAIN_END, VAL_END, nation_daily
+from .fixtures import LEVEL, TRAIN_END, VAL_END, nation_daily, region_daily
 from .ingest_queries import HISTORY_END, _order_events
 from .report_queries import nation_catalogue
 
@@ -23,10 +23,8 @@ KEYS = training.KEYS
 
 
 def prepared_panel(spark, sf_dir) -> training.Prepared:
-    daily = nation_daily(spark, sf_dir)
-    return training.prepare(
-        daily, Date.fromisoformat(TRAIN_END), Date.fromisoformat(VAL_END), level=LEVEL, check_gaps=False
-    )
+    daily = materialise(region_daily(spark, sf_dir), "daily")
+    return training.prepare(daily, Date.fromisoformat(TRAIN_END), Date.fromisoformat(VAL_END), level="region")
 
 
 def forest_test_report(spark, sf_dir):
@@ -52,7 +50,7 @@ def forest_convergence(spark, sf_dir):
 def forest_raw_benchmark(spark, sf_dir):
     """The same forest on binned and on raw features."""
     p = prepared_panel(spark, sf_dir)
-    raw = materialise(training.features.build_features(p.panel, LEVEL), "raw")
+    raw = materialise(training.features.build_features(p.panel, p.level), "raw")
     binned = models.forest(p.rows("train"), p.features, trees=30)
     unbinned = models.forest(split.model_rows(raw, "train"), p.features, trees=30)
     return models.evaluate([models.Fitted("binned", binned)], p.rows("test")).unionByName(

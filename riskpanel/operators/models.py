@@ -56,19 +56,23 @@ class Fitted:
     seconds: float = float("nan")
 
 
-def weighted(rows: DataFrame, power: float = 1.0) -> DataFrame:
-    """Rows with the weight of their class."""
-    return with_row_weights(rows.drop("weight"), class_weights(rows, power=power))
+def weighted(rows: DataFrame) -> DataFrame:
+    """Rows with the balanced weight of their class."""
+    return with_row_weights(rows, class_weights(rows))
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Training rows over all cores.
+def training_set(rows: DataFrame) -> DataFrame:
+    """Weighted rows, cached for the many passes of a search, over enough tasks.
 
     A small panel arrives in one or two files, which would leave the iterative
     learners with as many tasks; a large one is cut into a million rows each.
     """
+    if "weight" in rows.columns:
+        return rows
+    count = rows.count()
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(cores, rows.count() // 1_000_000))
+    parts = max(1, min(cores, count // 4_000), count // 1_000_000)
+    return weighted(rows).repartition(parts).persist()
 
 
 def _pipeline(features: Sequence[str], classifier: Estimator, *, scaled: bool = False) -> Pipeline:
@@ -89,7 +93,12 @@ def forest(
     bootstrap: bool = True,
     seed: int = SEED,
 ) -> PipelineModel:
-    """Random forest on class-weighted rows with a cap on each tree's sample."""
+    """Random forest on class-weighted rows with a cap on each tree's sample.
+
+    ``power`` softens the weights. Node ids are cached per row, which spares deep
+    forests from shipping all trees with every pass.
+    """
+    train = training_set(train).withColumn("weight", F.pow("weight", F.lit(float(power))))
     rate = min(1.0, MAX_ROWS_PER_TREE / max(train.count(), 1)) if bootstrap else 1.0
     classifier = RandomForestClassifier(
         labelCol="label",
@@ -101,9 +110,10 @@ def forest(
         featureSubsetStrategy="sqrt",
         subsamplingRate=rate,
         bootstrap=bootstrap,
+        cacheNodeIds=True,
         seed=seed,
     )
-    return _pipeline(features, classifier).fit(_spread(weighted(train, power)))
+    return _pipeline(features, classifier).fit(train)
 
 
 def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_iter: int = 2000) -> PipelineModel:
@@ -112,6 +122,7 @@ def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_i
     With balanced weights the weight sum is the row count, which turns the
     inverse penalty C into MLlib's per-row ``regParam``.
     """
+    train = training_set(train)
     classifier = LogisticRegression(
         featuresCol="scaled",
         labelCol="label",
@@ -121,8 +132,9 @@ def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_i
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=1e-5,
     )
-    return _pipeline(features, classifier, scaled=True).fit(_spread(weighted(train)))
+    return _pipeline(features, classifier, scaled=True).fit(train)
 
 
 def boosting(
@@ -130,9 +142,17 @@ def boosting(
 ) -> PipelineModel:
     """Gradient-boosted trees, one against the rest (MLlib's are binary)."""
     binary = GBTClassifier(
-        labelCol="label", weightCol="weight", maxIter=iterations, stepSize=rate, maxDepth=depth, maxBins=MAX_BINS, seed=SEED
+        labelCol="label",
+        weightCol="weight",
+        maxIter=iterations,
+        stepSize=rate,
+        maxDepth=depth,
+        maxBins=MAX_BINS,
+        cacheNodeIds=True,
+        seed=SEED,
     )
-    return _pipeline(features, OneVsRest(classifier=binary, labelCol="label", weightCol="weight")).fit(_spread(weighted(train)))
+    one_vs_rest = OneVsRest(classifier=binary, labelCol="label", weightCol="weight")
+    return _pipeline(features, one_vs_rest).fit(training_set(train))
 
 
 def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -141,9 +161,9 @@ def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) ->
     The fractional part of a repeat count is decided by a hash of the row's
     keys, so a recomputed partition repeats the same rows.
     """
-    weights = class_weights(train).filter(F.col("cells") > 0)
-    least = weights.agg(F.min("weight").alias("w")).scalar()
-    copies = with_row_weights(train, weights).withColumn("copies", F.col("weight") / least)
+    train = training_set(train)
+    least = train.agg(F.min("weight").alias("w")).scalar()
+    copies = train.withColumn("copies", F.col("weight") / least)
     chance = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     whole = F.floor("copies")
     count = (whole + (chance < F.col("copies") - whole).cast("int")).cast("int")
@@ -157,7 +177,7 @@ def perceptron(
     classifier = MultilayerPerceptronClassifier(
         featuresCol="scaled", labelCol="label", layers=[len(features), *layers, 3], maxIter=max_iter, seed=SEED
     )
-    return _pipeline(features, classifier, scaled=True).fit(_spread(balanced_repeats(train, keys)))
+    return _pipeline(features, classifier, scaled=True).fit(balanced_repeats(train, keys))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -194,6 +214,7 @@ def search(
 ) -> Fitted:
     """Fit each configuration on train, keep the best on the validation weeks."""
     start = time.perf_counter()
+    train = training_set(train)
 
     def tried():
         for config in grid:
@@ -215,6 +236,7 @@ def tune_forest(
 ) -> Fitted:
     """Search depth and weight power with few trees, refit the winner with all."""
     start = time.perf_counter()
+    train = training_set(train)
     found = search("forest", lambda t, **c: forest(t, features, trees=search_trees, **c), grid, train, val)
     model = forest(train, features, trees=trees, **found.config)
     config = {**found.config, "trees": trees}
@@ -241,7 +263,8 @@ def fit_families(
 
     ``forest_no_bootstrap`` stands where MLlib lacks extremely randomised trees.
     """
-    return [
+    train, val = training_set(train), val.persist()
+    fitted = [
         tune_forest(train, val, features, grid=forest_grid, search_trees=search_trees, trees=trees),
         search(
             "forest_no_bootstrap",
@@ -260,6 +283,9 @@ def fit_families(
             val,
         ),
     ]
+    train.unpersist()
+    val.unpersist()
+    return fitted
 
 
 def validation_table(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
