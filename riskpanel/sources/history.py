@@ -53,8 +53,10 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 
 def _replace_partitions(rows: DataFrame, path: str, batch: str) -> None:
     keyed = rows.withColumn("month", month_key(F.col("event_date"))).withColumn("batch", F.lit(batch))
+    # one writer per month for small batches; adaptive execution splits a large month
     (
-        keyed.write.partitionBy("month", "batch")
+        keyed.hint("rebalance", "month")
+        .write.partitionBy("month", "batch")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
