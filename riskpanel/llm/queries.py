@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskpanel.llm import byte_bpe, sharding, token_counts, url_rules
+from riskpanel.llm import byte_bpe, sharding, simhash, token_counts, topk, url_rules
 from riskpanel.llm.common import local_rows, table
 
 # The rules, sizes and limits that the queries are defined with.
@@ -20,6 +21,23 @@ URL_RULES = [
 ]
 SHARDS = 8
 TOKEN_LIMIT = 4096
+TOP_K = 10
+QUERY_EVERY = 100
+VECTOR_SCALE = 1024.0
+SIMHASH_WORDS = 3
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("id") % QUERY_EVERY == 0, TOP_K, VECTOR_SCALE)
+
+
+OP1_SQL = f"""WITH valid AS (SELECT vec_id, list_transform(embedding, lambda x: floor({VECTOR_SCALE} * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM valid q JOIN valid c ON q.vec_id % {QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP_K}"""
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +65,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS)
+
+
 _RULE_ROWS = ", ".join(f"('{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in URL_RULES)
 OP8_SQL = f"""WITH rules(rhost, rpath, verdict) AS (VALUES {_RULE_ROWS}),
     cut AS (SELECT page_id, url, row_number() OVER () AS row_no,
@@ -61,10 +83,12 @@ OP8_SQL = f"""WITH rules(rhost, rpath, verdict) AS (VALUES {_RULE_ROWS}),
     FROM parts LEFT JOIN (SELECT * FROM fits WHERE nth = 1) f USING (row_no)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_sharding": op2_sharding,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_url_rules": op8_url_rules,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {"op8_url_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL, "op8_url_rules": OP8_SQL}
