@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskpanel.llm import byte_bpe, sharding, simhash, token_counts, topk, url_rules
+from riskpanel.llm import byte_bpe, decontaminate, line_dedup, sharding, simhash, token_counts, topk, toxicity, url_rules
 from riskpanel.llm.common import local_rows, table
 
 # The rules, sizes and limits that the queries are defined with.
@@ -25,6 +25,8 @@ TOP_K = 10
 QUERY_EVERY = 100
 VECTOR_SCALE = 1024.0
 SIMHASH_WORDS = 3
+TOXIC_FROM = 0.7
+BOILERPLATE_SITES = 10
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,33 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), BOILERPLATE_SITES)
+    return cleaned.select("row.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
+
+
+OP6_SQL = f"""WITH texts AS (SELECT coalesce(text, '') AS text, min(coalesce('=' || source, '')) AS site FROM documents GROUP BY 1),
+    lines AS (SELECT DISTINCT site, unnest(string_split(text, chr(10))) AS line FROM texts),
+    common AS (SELECT line FROM lines WHERE trim(line, ' ') <> '' GROUP BY line HAVING count(DISTINCT site) >= {BOILERPLATE_SITES}),
+    split AS (SELECT doc_id, row_no, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents))
+    SELECT doc_id, count(*) AS n_lines, count(common.line) AS n_removed,
+        coalesce(string_agg(split.line, chr(10) ORDER BY pos) FILTER (common.line IS NULL), '') AS text
+    FROM split LEFT JOIN common ON split.line = common.line GROUP BY doc_id, row_no"""
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, chain, TOXIC_FROM)
+    held_out = F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return scored.select("row.doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_WORDS)
 
@@ -85,10 +114,13 @@ OP8_SQL = f"""WITH rules(rhost, rpath, verdict) AS (VALUES {_RULE_ROWS}),
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_sharding": op2_sharding,
+    "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_url_rules": op8_url_rules,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL, "op8_url_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL, "op6_line_dedup": OP6_SQL, "op8_url_rules": OP8_SQL}
