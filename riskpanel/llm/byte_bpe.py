@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskpanel.llm.common import ship
+
 _MEMO_ENTRIES = 400_000
 _MEMO_CHARS = 64
 
@@ -162,6 +164,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, digests_only: bool =
     columns are not read. The vocabulary, a fixed file, is sent to the executors once.
     """
     spark = docs.sparkSession
+    ship(spark)
     vocabulary = spark.sparkContext.broadcast((load_ranks(ranks_path), pattern))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if not digests_only:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskpanel.llm import byte_bpe, decontaminate, line_dedup, sharding, simhash, token_counts, topk, toxicity, url_rules
+from riskpanel.llm import byte_bpe, decontaminate, line_dedup, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, url_rules
 from riskpanel.llm.common import local_rows, table
 
 # The rules, sizes and limits that the queries are defined with.
@@ -71,6 +71,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), BOILERPLATE_SITES)
     return cleaned.select("row.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_url_rules": op8_url_rules,

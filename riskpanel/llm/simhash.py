@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskpanel.llm.common import ship
 from riskpanel.llm.components import components
 from riskpanel.session import materialise
 
@@ -66,6 +67,8 @@ def fingerprint(data: bytes, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer."""
 
+    ship(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             found = [fingerprint((t or "").encode("utf-8"), shingle) for t in batch.column("text").to_pylist()]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskpanel.llm.common import text_of
+from riskpanel.llm.common import ship, text_of
 from riskpanel.session import materialise
 
 _MARK = "▁"  # stands for a space inside the vocabulary
@@ -71,6 +71,7 @@ def count_tokens(
     each is returned. Other columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    ship(spark)
     text = text_of()
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),

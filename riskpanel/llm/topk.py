@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskpanel.llm.common import ship
 from riskpanel.session import materialise
 
 _SUB_BLOCK = 128  # queries scored at once
@@ -129,6 +130,7 @@ def top_k(
     repeat a vec_id count once, with the smallest vector. Vectors of unequal length are
     read as if zeros followed. An empty table gives an empty result.
     """
+    ship(vectors.sparkSession)
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("bigint"))
     kept = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskpanel.llm.common import packed, ship
+
 _WORDS = re.compile(r"[^\W\d_]+")
 _PREFIXES = range(3, 9)
 _LONGEST_WORD = 40
@@ -268,7 +270,7 @@ def is_held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, sample_chars: int = 8_000) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, sample_chars: int = 8_000) -> Chain:
     """A field from at most ``sample_rows`` labelled rows that aren't held out, half of each label.
 
     The rows with the smallest hash of doc_id are taken, among texts of at most
@@ -297,8 +299,9 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.7) -> DataFrame:
     toxic runs as character offsets. A null or wordless text is scored as one without toxic
     words. Repeated rows are scored alike; an empty table gives an empty result.
     """
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(chain)
-    schema = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = docs.select(packed(docs).alias("row"), F.col("text").cast("string").alias("text"))
     out_type = f"row {schema.schema['row'].dataType.simpleString()}, score double, predicted int, spans array<struct<start:int,end:int>>"
 
     def run(batches):
