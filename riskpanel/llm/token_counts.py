@@ -6,8 +6,9 @@ pre-tokens, each a run of spaces and what follows up to the next one, and its to
 count is the sum of theirs. Each distinct pre-token of the corpus is tokenised once; the
 counts are joined to the documents' pre-tokens and summed.
 
-Frequent pre-tokens, up to a bound on rows and bytes, form the broadcast side. The rest
-are counted per document and joined by a shuffle, so nothing that grows is broadcast.
+Frequent pre-tokens, up to a bound on rows and bytes, form the broadcast side of the join.
+The others, each in few documents, are tokenised where they occur, once per batch: to
+send that long tail through a join costs more than to tokenise it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskpanel.llm.common import ship, text_of
@@ -24,29 +25,31 @@ from riskpanel.session import materialise
 _MARK = "▁"  # stands for a space inside the vocabulary
 
 
-def _piece_counts(spark: SparkSession, pieces: DataFrame, model_path: str) -> DataFrame:
-    """``pieces`` (piece, freq) with the number of tokens ``n`` of each."""
-    with open(model_path, "rb") as f:  # a fixed file of under a megabyte
-        model = spark.sparkContext.broadcast(f.read())
+def _with_counts(rows: DataFrame, model) -> DataFrame:
+    """``rows`` with ``n``, the number of tokens of their ``piece``."""
+    names = rows.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for batch in batches:
-            found = batch.column("piece").to_pylist()
+            coded = batch.column("piece").dictionary_encode()
+            found = coded.dictionary.to_pylist()
             # the library puts one space mark before a text itself
             ids = processor.encode([p[1:] for p in found], num_threads=1)
-            n = pa.array([len(x) if p != " " else 1 for x, p in zip(ids, found, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), batch.column("freq"), n], ["piece", "freq", "n"])
+            each = pa.array([len(x) if p != " " else 1 for x, p in zip(ids, found, strict=True)], pa.int64())
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, each.take(coded.indices)], [*names, "n"])
 
-    return pieces.mapInArrow(count, "piece string, freq long, n long")
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return rows.mapInArrow(count, f"{schema}, n long")
 
 
-def _head(vocabulary: DataFrame, max_rows: int, max_bytes: int) -> tuple[int, bool]:
-    """Smallest power of two so that pre-tokens at least as frequent fit the bounds; whether all fit."""
+def _head(pre_tokens: DataFrame, max_rows: int, max_bytes: int) -> int:
+    """Smallest power of two so that pre-tokens at least as frequent fit the bounds."""
     levels = (
-        vocabulary.groupBy(F.floor(F.log2("freq")).cast("int").alias("level"))
+        pre_tokens.groupBy(F.floor(F.log2("freq")).cast("int").alias("level"))
         .agg(F.count("*").alias("rows"), F.sum(F.octet_length("piece") + 16).alias("bytes"))
         .orderBy(F.col("level").desc())
         .collect()  # at most 63 rows
@@ -56,9 +59,9 @@ def _head(vocabulary: DataFrame, max_rows: int, max_bytes: int) -> tuple[int, bo
     for level in levels:
         rows, size = rows + level["rows"], size + level["bytes"]
         if rows > max_rows or size > max_bytes:
-            return cut, False
+            return cut
         cut = 1 << level["level"]
-    return cut, True
+    return cut
 
 
 def count_tokens(
@@ -81,19 +84,18 @@ def count_tokens(
     )
     key = ["doc_id", "h", "n_bytes"]
     pieces = keyed.select(*key, F.posexplode("pieces").alias("pos", "piece"))
+    with open(model_path, "rb") as f:  # a fixed file of under a megabyte
+        model = spark.sparkContext.broadcast(f.read())
     counted = pieces.filter(F.col("n_bytes") > 0).groupBy("piece").agg(F.count("*").alias("freq"))
-    vocabulary = materialise(_piece_counts(spark, counted, model_path), "pre-tokens")
-    cut, complete = _head(vocabulary, head_rows, head_bytes)
-    head = F.broadcast(vocabulary.filter(F.col("freq") >= cut).select("piece", "n"))
+    common = materialise(counted.filter(F.col("freq") > 1), "pre-tokens")
+    cut = _head(common, head_rows, head_bytes)
+    head = F.broadcast(materialise(_with_counts(common.filter(F.col("freq") >= cut), model), "counted").select("piece", "n"))
     copies = F.sum(F.when(F.col("pos") == 0, 1).otherwise(0)).alias("copies")
     joined = pieces.join(head, "piece", "left")
     known = joined.groupBy(*key).agg(F.sum("n").alias("total"), copies)
-    if not complete:
-        rare = vocabulary.filter(F.col("freq") < cut).select("piece", "n")
-        missed = joined.filter(F.col("n").isNull()).groupBy(*key, "piece").agg(F.count("*").alias("times"))
-        rest = missed.join(rare, "piece").groupBy(*key).agg(F.sum(F.col("times") * F.col("n")).alias("total"))
-        both = known.unionByName(rest.withColumn("copies", F.lit(0).cast("bigint")))
-        known = both.groupBy(*key).agg(F.sum("total").alias("total"), F.sum("copies").alias("copies"))
+    missed = _with_counts(joined.filter(F.col("n").isNull() & (F.col("n_bytes") > 0)).select(*key, "piece"), model)
+    rest = missed.groupBy(*key).agg(F.sum("n").alias("total"), F.lit(0).cast("bigint").alias("copies"))
+    known = known.unionByName(rest).groupBy(*key).agg(F.sum("total").alias("total"), F.sum("copies").alias("copies"))
     # a repeated row's pre-tokens were summed over its copies
     tokens = F.when(F.col("n_bytes") == 0, 0).otherwise(F.expr("total div copies")).cast("bigint")
     return known.select(
