@@ -279,8 +279,9 @@ def _sorted_runs(contexts: DataFrame, splitters: list[bytes]) -> DataFrame:
                 continue
             strings = np.ascontiguousarray(behind).view(f"S{WINDOW}").ravel()
             order = np.argsort(strings, kind="stable")
-            before = [batch.column("before").to_pylist()[i] for i in order]
-            sizes = np.array([[len(s) for s in before], [len(batch.column("behind")[int(i)].as_py()) for i in order]], np.uint8)
+            ahead, after = batch.column("before").to_pylist(), batch.column("behind").to_pylist()
+            before = [ahead[i] for i in order]
+            sizes = np.array([[len(s) for s in before], [len(after[i]) for i in order]], np.uint8)
             left = _matrix([s[::-1] for s in before], REACH)  # nearest byte first
             names = np.stack([batch.column(c).to_numpy()[order] for c in ("gram", "context")])
             part = np.searchsorted(cuts, np.ascontiguousarray(behind[order][:, :GRAM]).view(f"S{GRAM}").ravel(), side="right")
