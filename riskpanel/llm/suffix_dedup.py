@@ -387,9 +387,11 @@ def repeated_starts(docs: DataFrame, crowd: int = 2000, suffixes_per_range: int
     window = ["gram", "distance", "window"]  # so that one place seen from two anchors is not two
     several = windows.groupBy(*window).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(*window)
     crowded = windows.join(materialise(several, "repeated-windows"), window, "left_semi").select("gram", "context", F.col("distance").alias("low"), F.col("distance").alias("high"))
-    # a context that occurs twice repeats every window inside it
+    # a context that occurs twice repeats every window inside it; the finer verdicts are for the others
+    single = classes.filter(F.col("n") == 1).select("gram", "context")
+    partly = merged.unionByName(crowded).join(single, ["gram", "context"], "left_semi")
     whole = classes.filter(F.col("n") > 1).select("gram", "context", F.lit(0).cast("bigint").alias("low"), F.lit(REACH).cast("bigint").alias("high"))
-    verdicts = materialise(merged.unionByName(crowded).unionByName(whole), "repeats")
+    verdicts = materialise(partly.unionByName(whole), "repeats")
     return rows.join(verdicts, ["gram", "context"]).select(
         "own", "k", F.greatest(F.col("at") - F.col("high"), F.lit(0)).alias("low"), (F.col("at") - F.col("low")).alias("high")
     )
