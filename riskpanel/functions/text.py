@@ -71,8 +71,10 @@ def is_foldable(text: Column) -> Column:
 
 
 def numeric_unit_id(code: Column) -> Column:
-    """``90150.0`` and ``90150`` both become ``'90150'``; non-numeric text is NULL."""
-    return F.trim(code.cast("string")).try_cast("double").cast("bigint").cast("string")
+    """``90150.0`` and ``90150`` both become ``'90150'``; text that isn't a whole number of 64 bits is NULL."""
+    plain = F.trim(code.cast("string"))
+    whole = F.when(F.rlike(plain, F.lit(r"^[+-]?\d+(\.0*)?$")), F.regexp_replace(plain, r"\.0*$", ""))
+    return whole.try_cast("bigint").cast("string")
 
 
 def name_unit_id(name: Column) -> Column:

@@ -66,3 +66,10 @@ def test_week_arithmetic(spark):
     assert _one(spark, calendar.week_index(F.date_sub(origin, 1), origin)) == -1
     assert _one(spark, calendar.month_key(day)) == "2026-01"
     assert _one(spark, calendar.day_name(F.lit(6))) == "Domingo"
+
+
+def test_numeric_unit_id_of_dirty_codes(spark):
+    codes = ["1e30", "Infinity", "12d", "90150.7", "123456789012345678.0", "+7", " 5. ", "99999999999999999999"]
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, v string")
+    got = {r["i"]: r["u"] for r in rows.select("i", text.numeric_unit_id(F.col("v")).alias("u")).collect()}
+    assert [got[i] for i in range(len(codes))] == [None, None, None, None, "123456789012345678", "7", "5", None]
