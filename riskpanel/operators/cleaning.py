@@ -63,8 +63,11 @@ def in_area(text: Column, area: str) -> Column:
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Day-first date; NULL when no format fits."""
-    return F.coalesce(*[F.try_to_date(F.trim(text), pattern) for pattern in formats])
+    """Day-first date, two-digit years read as 20xx; NULL when no format fits."""
+    plain = F.trim(text)
+    short = F.rlike(plain, F.lit(r"^\d{1,2}/\d{1,2}/\d{2}$"))
+    parsed = F.coalesce(*[F.try_to_date(plain, pattern) for pattern in formats])
+    return F.when(short, F.try_to_date(plain, "d/M/yy")).otherwise(parsed)
 
 
 def unit_id_of(scope: Scope) -> Column:

@@ -73,3 +73,11 @@ def test_numeric_unit_id_of_dirty_codes(spark):
     rows = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, v string")
     got = {r["i"]: r["u"] for r in rows.select("i", text.numeric_unit_id(F.col("v")).alias("u")).collect()}
     assert [got[i] for i in range(len(codes))] == [None, None, None, None, "123456789012345678", "7", "5", None]
+
+
+def test_two_digit_years(spark):
+    from riskpanel.operators.cleaning import parse_date
+
+    rows = spark.createDataFrame([(0, "5/1/26"), (1, "05/01/2026"), (2, "31/2/26"), (3, None)], "i int, v string")
+    got = {r["i"]: str(r["d"]) for r in rows.select("i", parse_date(F.col("v")).alias("d")).collect()}
+    assert got == {0: "2026-01-05", 1: "2026-01-05", 2: "None", 3: "None"}
