@@ -28,9 +28,10 @@ from riskpanel.llm.common import packed, ship
 _WORDS = re.compile(r"[^\W\d_]+")
 _PREFIXES = range(3, 9)
 _LONGEST_WORD = 40
-_MEMO_ENTRIES = 1_000_000
+_MEMO_ENTRIES = 200_000
 _SCAN = 32
-_TOKENS_AT_ONCE = 1 << 19
+_TOKENS_AT_ONCE = 1 << 16
+_ROWS_AT_ONCE = 512
 
 
 def spellings(word: str) -> list[str]:
@@ -91,10 +92,25 @@ class Chain:
 
 
 def marginals(unary: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray, with_moves: bool = False):
-    """P(toxic) of each word of the concatenated texts, and the expected moves over all of them."""
+    """P(toxic) of each word of the concatenated texts, and the expected moves over all of them.
+
+    Whole texts are taken together up to some number of words, which bounds the memory.
+    """
     lengths = lengths[lengths > 0]
-    if not len(unary):
-        return np.zeros(0), np.zeros((2, 2))
+    p, pairs = np.empty(len(unary)), np.zeros((2, 2))
+    ends = np.cumsum(lengths)
+    at = done = 0
+    while at < len(lengths):
+        stop = max(at + 1, int(np.searchsorted(ends, done + _TOKENS_AT_ONCE, side="right")))
+        part = slice(done, int(ends[stop - 1]))
+        p[part], some = _marginals(unary[part], lengths[at:stop], moves, start, with_moves)
+        pairs += some
+        at, done = stop, part.stop
+    return p, pairs
+
+
+def _marginals(unary: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray, with_moves: bool):
+    """``marginals`` of texts that all have words."""
     first = np.zeros(len(unary), bool)
     first[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = True
     toxic = np.exp(np.clip(unary, -30, 30))
@@ -306,7 +322,8 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.7) -> DataFrame:
 
     def run(batches):
         memo = _Unaries(model.value)
-        for batch in batches:
+        parts = (b.slice(i, _ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _ROWS_AT_ONCE))
+        for batch in parts:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found, spans = tag(model.value, memo, texts)
             yield pa.RecordBatch.from_arrays(
