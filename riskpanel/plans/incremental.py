@@ -62,22 +62,26 @@ def score_batch(
     *,
     strict: bool = False,
     save: bool = True,
+    replay: bool = False,
 ) -> ScoringResult:
     """Validate clean events, score the next week, then append them to the history.
 
-    ``batch`` names the batch: writing the same name again replaces its events.
+    ``batch`` names the batch: sent again under the same name, its events replace
+    the earlier ones, in the counts as in the history. Months that only the batch
+    itself has loaded reject it like any other, except in a ``replay``.
     """
     spark = events.sparkSession
     events = materialise(store.history_columns(events), "batch")
-    new_daily = panel.daily_counts(events, "unit_id", "event_date")
+    new_daily = materialise(panel.daily_counts(events, "unit_id", "event_date"), "batch-daily")
     loaded = store.read_daily(spark, history_path)
-    months = store.loaded_months(loaded)
+    others = loaded.filter(F.col("batch") != batch)
+    months = store.loaded_months(others if replay else loaded)
     verdict = validation.batch_verdict(new_daily, package.units, months, today, strict=strict).first()
-    old_records = _records(loaded)
     if not verdict["accepted"]:
-        return ScoringResult(False, verdict["reason"], False, 0, old_records)
+        return ScoringResult(False, verdict["reason"], False, 0, _records(loaded))
 
-    both = loaded.select("unit_id", "event_date", "n").unionByName(new_daily)
+    old_records = _records(others)
+    both = others.select("unit_id", "event_date", "n").unionByName(new_daily)
     daily = materialise(panel.daily_counts(both, "unit_id", "event_date", "n"), "daily")
     target_week, matrix = score_next_week(daily, package)
     matrix = materialise(matrix, "matrix")

@@ -93,9 +93,9 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int
         ),
         "files",
     )
-    headers = lines.join(F.broadcast(files.select("line_id")), "line_id").select("line_id", "value")
+    headers = lines.join(F.broadcast(files.select("path", "line_id")), ["path", "line_id"]).select("path", "line_id", "value")
     as_latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    rows = files.join(headers, "line_id", "left").select(
+    rows = files.join(headers, ["path", "line_id"], "left").select(
         "path", "utf8", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin).alias("header")
     )
     readable: dict[Dialect, list[str]] = defaultdict(list)
@@ -135,7 +135,10 @@ def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) ->
     )
     unquoted = F.regexp_replace(_CORRUPT, r'"([^"]|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(dialect.separator), F.lit(""))) + 1
-    too_long = F.coalesce(fields > width, F.lit(False))
+    # a length is never negative: this only keeps a data column in the scan, as Spark
+    # refuses to read the corrupt record alone where a caller counts the rows
+    allowed = F.when(F.length("c0") < 0, 0).otherwise(width)
+    too_long = F.coalesce(fields > allowed, F.lit(False))
     kept = rows.filter(~too_long)
     return kept.select(*[f"c{i}" for i in range(width)], F.col("_metadata.file_name").alias("archivo"))
 

@@ -1,7 +1,7 @@
-"""The accumulated history: clean events in Parquet, partitioned by month and batch.
+"""The accumulated history: clean events in Parquet, partitioned by batch and month.
 
-A batch owns its partitions, so writing it again after a lost executor or a
-restarted job replaces them instead of adding the events twice. Next to the
+A batch owns its folder, so writing it again after a lost executor or a restarted
+job, or with other months, replaces all it held instead of adding events twice. Next to the
 events lie their daily counts, one row per unit and day: scoring and validation
 read only those, so a month's run does not scan the raw history again.
 """
@@ -21,6 +21,7 @@ from .csv_files import read_incidents
 HISTORY_SCHEMA = "event_date date, unit_id string, parroquia string, canton string, archivo string"
 DAILY_SCHEMA = "unit_id string, event_date date, n bigint"
 _PARTITIONS = "month string, batch string"
+_PLAIN = "-_. "  # besides letters and digits, what a folder name holds as it is
 
 
 def empty_history(spark: SparkSession) -> DataFrame:
@@ -51,26 +52,33 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], f"{DAILY_SCHEMA}, {_PARTITIONS}") if daily is None else daily
 
 
-def _replace_partitions(rows: DataFrame, path: str, batch: str) -> None:
-    keyed = rows.withColumn("month", month_key(F.col("event_date"))).withColumn("batch", F.lit(batch))
+def _batch_folder(path: str, batch: str) -> str:
+    if not batch:
+        raise ValueError("a batch needs a name")
+    name = "".join(c if c.isalnum() or c in _PLAIN or ord(c) > 127 else f"%{ord(c):02X}" for c in batch)
+    return f"{path}/batch={name}"
+
+
+def _replace_batch(rows: DataFrame, path: str, batch: str) -> None:
     # one writer per month for small batches; adaptive execution splits a large month
     (
-        keyed.hint("rebalance", "month")
-        .write.partitionBy("month", "batch")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.withColumn("month", month_key(F.col("event_date")))
+        .hint("rebalance", "month")
+        .write.partitionBy("month")
+        .option("partitionOverwriteMode", "static")
         .mode("overwrite")
-        .parquet(path)
+        .parquet(_batch_folder(path, batch))
     )
 
 
 def write_batch(events: DataFrame, path: str, batch: str) -> None:
-    """Append a batch, replacing only what the same batch wrote before.
+    """Append a batch, replacing everything the same batch wrote before, and only that.
 
     The daily counts come last: until they are there, the batch does not count
     as loaded and a rerun writes both again.
     """
-    _replace_partitions(history_columns(events), f"{path}/events", batch)
-    _replace_partitions(daily_counts(events, "unit_id", "event_date"), f"{path}/daily", batch)
+    _replace_batch(history_columns(events), f"{path}/events", batch)
+    _replace_batch(daily_counts(events, "unit_id", "event_date"), f"{path}/daily", batch)
 
 
 def loaded_months(daily: DataFrame) -> DataFrame:

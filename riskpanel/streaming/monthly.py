@@ -36,14 +36,14 @@ def score_arrivals(
     """Score every file not yet seen, oldest name first, and stop.
 
     The file name is the batch name in the history. A micro-batch that is run
-    again after a failure finds its month loaded and rejects it, or replaces the
-    partitions it half wrote: either way the events count once.
+    again after a failure is a replay: it replaces what it wrote, so that the events
+    count once, and gives the same result again.
     """
 
     def handle(arrived: DataFrame, _epoch: int) -> None:
         for row in arrived.distinct().orderBy("name").collect():  # one row per file
             result = score_csv(
-                spark, row["path"], package, history_path, row["name"], today(), scope, **options
+                spark, row["path"], package, history_path, row["name"], today(), scope, replay=True, **options
             )
             on_result(row["name"], result)
 

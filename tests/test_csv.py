@@ -37,6 +37,13 @@ def test_all_dialects_and_encodings(spark, tmp_path):
     assert {r["unit_id"] for r in rows} == {"90150"}
 
 
+def test_rows_can_be_counted_without_reading_a_column(spark, tmp_path):
+    _write(tmp_path, "a.csv", f"{HEADER}\n{ROW}\n{ROW};too;long\n{ROW}\n")
+    rows = csv_files.read_incidents(spark, str(tmp_path), Scope())
+    assert rows.count() == 2
+    assert [tuple(r) for r in rows.groupBy("archivo").count().collect()] == [("a.csv", 2)]
+
+
 def test_unreadable_and_empty_files_are_left_out(spark, tmp_path):
     _write(tmp_path, "a.csv", f"{HEADER}\n{ROW}\n")
     _write(tmp_path, "b.csv", "one;two\n1;2\n")

@@ -115,6 +115,34 @@ def test_rejected_batches_change_nothing(spark, package, store, tmp_path, change
     assert history.read_history(spark, store).count() == before
 
 
+def test_a_batch_sent_again_counts_once(spark, package, store, tmp_path):
+    before = history.read_history(spark, store).count()
+    assert _score(spark, _csv(tmp_path, "a.csv", AUGUST), package, store).accepted
+    longer = _csv(tmp_path, "b.csv", [*AUGUST[10:], *_days(D(2023, 9, 1), D(2023, 9, 30))])
+    result = _score(spark, longer, package, store)
+    assert result.accepted and result.new_records == 51 and result.history_records == before + 51
+    assert history.read_history(spark, store).count() == before + 51
+    assert history.read_daily(spark, store).agg(F.sum("n")).first()[0] == before + 51
+
+
+def test_a_rewritten_batch_leaves_no_month_behind(spark, seed_rows, tmp_path):
+    events = spark.createDataFrame(seed_rows, history.HISTORY_SCHEMA)
+    path = str(tmp_path / "store")
+    history.write_batch(events, path, "b 1/2=x%")
+    history.write_batch(events.filter(F.col("event_date") < F.lit("2023-07-01").cast("date")), path, "b 1/2=x%")
+    rows = history.read_history(spark, path).agg(F.max("event_date").alias("last"), F.max("batch").alias("batch")).first()
+    assert rows["last"] == D(2023, 6, 30) and rows["batch"] == "b 1/2=x%"
+    assert history.loaded_months(history.read_daily(spark, path)).count() == 6
+
+
+def test_a_replay_gives_the_same_result(spark, package, store, tmp_path):
+    path = _csv(tmp_path, "aug.csv", AUGUST)
+    first = _score(spark, path, package, store, replay=True)
+    second = _score(spark, path, package, store, replay=True)
+    assert second.accepted and second.history_records == first.history_records
+    assert second.matrix.exceptAll(first.matrix).count() == 0 and second.matrix.count() == first.matrix.count()
+
+
 def test_unusable_file_is_rejected_without_an_exception(spark, package, store, tmp_path):
     (tmp_path / "bad.csv").write_text("a;b\n1;2\n")
     result = _score(spark, str(tmp_path / "bad.csv"), package, store)
