@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold, is_foldable, name_unit_id, normalise, numeric_unit_id
 
-# How many characters of the category must occur, the day-first
-# date pattern, and the column each unit level is taken from.
+# How many characters of the category must occur, the date patterns
+# (day first, or ISO), and the column each unit level is taken from.
 CATEGORY_ROOT = 7
-DATE_FORMATS = ("d/M/y",)
+DATE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-M-d")
+_TIME = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
 UNIT_COLUMNS = {"parroquia": "cod_parroquia", "canton": "canton"}
 
 
@@ -63,8 +64,8 @@ def in_area(text: Column, area: str) -> Column:
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Day-first date, two-digit years read as 20xx; NULL when no format fits."""
-    plain = F.trim(text)
+    """Day-first or ISO date without its time of day, two-digit years read as 20xx; NULL when no format fits."""
+    plain = F.regexp_replace(F.trim(text), _TIME, "")
     short = F.rlike(plain, F.lit(r"^\d{1,2}/\d{1,2}/\d{2}$"))
     parsed = F.coalesce(*[F.try_to_date(plain, pattern) for pattern in formats])
     return F.when(short, F.try_to_date(plain, "d/M/yy")).otherwise(parsed)

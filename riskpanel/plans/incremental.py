@@ -45,7 +45,10 @@ def score_next_week(daily: DataFrame, package: Package) -> tuple[Date, DataFrame
     wide = features.build_features(split.apply_mask(cells, package.mask), package.level)
     features.check_feature_contract(features.feature_names(package.level), package.features)
     target = binning.apply_bins(features.next_week_rows(wide), package.edges, package.features)
-    scored = models.score(package.model, target)
+    target = materialise(target, "target-week")
+    # only eligible cells pass through the model; the others keep NULL probabilities
+    scored = models.score(package.model, target.filter("eligible"))
+    scored = scored.unionByName(target.filter(~F.col("eligible")), allowMissingColumns=True)
     return meta.next_week, risk.risk_matrix(scored, package.units, meta.next_week)
 
 

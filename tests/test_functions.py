@@ -81,3 +81,12 @@ def test_two_digit_years(spark):
     rows = spark.createDataFrame([(0, "5/1/26"), (1, "05/01/2026"), (2, "31/2/26"), (3, None)], "i int, v string")
     got = {r["i"]: str(r["d"]) for r in rows.select("i", parse_date(F.col("v")).alias("d")).collect()}
     assert got == {0: "2026-01-05", 1: "2026-01-05", 2: "None", 3: "None"}
+
+
+def test_date_forms(spark):
+    from riskpanel.operators.cleaning import parse_date
+
+    forms = ["2026-01-05", "5-1-2026", "05/01/2026 13:45", "2026-01-05T13:45:10.5", "5/1/126", "1/5", "2026-13-05"]
+    rows = spark.createDataFrame(list(enumerate(forms)), "i int, v string")
+    got = {r["i"]: str(r["d"]) for r in rows.select("i", parse_date(F.col("v")).alias("d")).collect()}
+    assert [got[i] for i in range(len(forms))] == ["2026-01-05"] * 4 + ["None"] * 3

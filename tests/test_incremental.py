@@ -206,6 +206,19 @@ def test_ineligible_units_are_not_scored(spark, package):
     assert by_unit["111"]["nivel"] == "Alto" and by_unit["111"]["unidad_idx"] == 0
 
 
+def test_only_eligible_cells_reach_the_model(spark, package, store, monkeypatch):
+    from dataclasses import replace
+
+    seen = []
+    scorer = models.score
+    monkeypatch.setattr(models, "score", lambda m, rows: seen.append(rows.select("unit_id").distinct().collect()) or scorer(m, rows))
+    half = replace(package, mask=package.mask.withColumn("eligible", F.col("unit_id") == "111"))
+    _, matrix = incremental.score_next_week(history.read_daily(spark, store), half)
+    assert [[r["unit_id"] for r in rows] for rows in seen] == [["111"]]
+    levels = {r["unidad_id"]: r["levels"] for r in matrix.groupBy("unidad_id").agg(F.array_agg("nivel_cod").alias("levels")).collect()}
+    assert levels["222"] == [-1] * 7 and -1 not in levels["111"]
+
+
 def test_history_is_built_once_from_seed_files(spark, tmp_path):
     _csv(tmp_path, "seed.csv", AUGUST)
     path = str(tmp_path / "store")
