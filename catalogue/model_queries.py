@@ -1,7 +1,8 @@
 """Fitted classifiers over the region panel. Results depend on the learners, so
 these have no SQL equivalent; tests hold them against the baselines instead.
 
-The grids here are a corner of the library's defaults, to keep a run short.
+Single forests have the library's full size; the grids of ``family_selection`` are a
+corner of its defaults, to keep a run short.
 """
 
 from __future__ import annotations
@@ -36,14 +37,14 @@ def forest_test_report(spark, sf_dir):
 def forest_details(spark, sf_dir):
     """Importance per feature, with the mean tree size alongside."""
     p = prepared_panel(spark, sf_dir)
-    model = models.forest(p.rows("train"), p.features, trees=30)
+    model = models.forest(p.rows("train"), p.features)
     size = models.tree_stats(model).agg(F.avg("nodes").alias("nodes"))
     return models.importances(model, p.features).withColumn("mean_nodes", size.scalar())
 
 
 def forest_convergence(spark, sf_dir):
     p = prepared_panel(spark, sf_dir)
-    model = models.forest(p.rows("train"), p.features, trees=25, depth=12)
+    model = models.forest(p.rows("train"), p.features)
     return models.convergence(model, p.rows("val"))
 
 
@@ -51,8 +52,8 @@ def forest_raw_benchmark(spark, sf_dir):
     """The same forest on binned and on raw features."""
     p = prepared_panel(spark, sf_dir)
     raw = materialise(training.features.build_features(p.panel, p.level), "raw")
-    binned = models.forest(p.rows("train"), p.features, trees=30)
-    unbinned = models.forest(split.model_rows(raw, "train"), p.features, trees=30)
+    binned = models.forest(p.rows("train"), p.features)
+    unbinned = models.forest(split.model_rows(raw, "train"), p.features)
     return models.evaluate([models.Fitted("binned", binned)], p.rows("test")).unionByName(
         models.evaluate([models.Fitted("raw", unbinned)], split.model_rows(raw, "test"))
     )
@@ -86,9 +87,9 @@ def incremental_scoring(spark, sf_dir):
     past = training.prepare(
         daily.filter(F.col("event_date") <= end), Date(1998, 12, 31), Date(1999, 12, 31), level=LEVEL, check_gaps=False
     )
-    model = models.forest(past.rows("train"), past.features, trees=20, depth=8)
+    model = models.forest(past.rows("train"), past.features)
     path = fresh_path(spark, "package")
-    frozen = training.freeze(past, models.Fitted("forest", model, {"trees": 20}), nation_catalogue(spark, sf_dir))
+    frozen = training.freeze(past, models.Fitted("forest", model, {"trees": 100}), nation_catalogue(spark, sf_dir))
     artefacts.save_package(frozen, path)
     package = artefacts.load_package(spark, path)
 
