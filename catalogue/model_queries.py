@@ -1,8 +1,6 @@
 """Fitted classifiers over the region panel. Results depend on the learners, so
-these have no SQL equivalent; tests hold them against the baselines instead.
-
-Single forests have the library's full size; the grids of ``family_selection`` are a
-corner of its defaults, to keep a run short.
+these have no SQL equivalent; tests hold them against the baselines instead. Every
+search runs the library's whole grid at full size.
 """
 
 from __future__ import annotations
@@ -59,23 +57,49 @@ def forest_raw_benchmark(spark, sf_dir):
     )
 
 
+def _searched(spark, sf_dir, find):
+    """Every setting of one family's grid with its validation score."""
+    p = prepared_panel(spark, sf_dir)
+    return models.settings_table(spark, [find(p, p.rows("train"), p.rows("val"))])
+
+
+def forest_grid(spark, sf_dir):
+    return _searched(spark, sf_dir, lambda p, train, val: models.tune_forest(train, val, p.features))
+
+
+def no_bootstrap_search(spark, sf_dir):
+    def find(p, train, val):
+        fit = lambda t, **c: models.forest(t, p.features, trees=300, bootstrap=False, **c)
+        return models.search("forest_no_bootstrap", fit, models.NO_BOOTSTRAP_GRID, train, val)
+
+    return _searched(spark, sf_dir, find)
+
+
+def logistic_search(spark, sf_dir):
+    def find(p, train, val):
+        return models.search("logistic", lambda t, **c: models.logistic(t, p.features, **c), models.LOGISTIC_GRID, train, val)
+
+    return _searched(spark, sf_dir, find)
+
+
+def boosting_search(spark, sf_dir):
+    def find(p, train, val):
+        return models.search("boosting", lambda t, **c: models.boosting(t, p.features, **c), models.BOOSTING_GRID, train, val)
+
+    return _searched(spark, sf_dir, find)
+
+
+def perceptron_search(spark, sf_dir):
+    def find(p, train, val):
+        fit = lambda t, **c: models.perceptron(t, p.features, keys=KEYS, **c)
+        return models.search("perceptron", fit, models.PERCEPTRON_GRID, train, val)
+
+    return _searched(spark, sf_dir, find)
+
+
 def family_selection(spark, sf_dir):
     p = prepared_panel(spark, sf_dir)
-    fitted = models.fit_families(
-        p.rows("train"),
-        p.rows("val"),
-        p.features,
-        KEYS,
-        forest_grid=[{"depth": 8, "power": 1.0}, {"depth": 8, "power": 0.5}],
-        no_bootstrap_grid=[{"depth": 8, "min_leaf": 5}],
-        logistic_grid=[{"C": 0.1}, {"C": 10.0}],
-        boosting_grid=[{"iterations": 5, "rate": 0.1, "depth": 3}],
-        perceptron_grid=[{"layers": (16,)}],
-        trees=20,
-        search_trees=10,
-        no_bootstrap_trees=20,
-        perceptron_iterations=50,
-    )
+    fitted = models.fit_families(p.rows("train"), p.rows("val"), p.features, KEYS)
     test = models.evaluate(fitted, p.rows("test")).drop("family_order")
     return models.compared(models.validation_table(spark, fitted).drop("seconds"), test)
 
@@ -105,6 +129,11 @@ QUERIES = {
     "forest_details": forest_details,
     "forest_convergence": forest_convergence,
     "forest_raw_benchmark": forest_raw_benchmark,
+    "forest_grid": forest_grid,
+    "no_bootstrap_search": no_bootstrap_search,
+    "logistic_search": logistic_search,
+    "boosting_search": boosting_search,
+    "perceptron_search": perceptron_search,
     "family_selection": family_selection,
     "incremental_scoring": incremental_scoring,
 }

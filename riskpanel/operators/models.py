@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -44,16 +46,20 @@ BOOSTING_GRID = tuple(
 PERCEPTRON_GRID = tuple({"layers": hidden} for hidden in ((32,), (64, 32), (128, 64)))
 CONVERGENCE_SIZES = (1, 5, 10, 25, 50, 75, 100)
 
+#: Settings of a search that are fitted at a time.
+PARALLEL_FITS = 4
+
 
 @dataclass
 class Fitted:
-    """A family frozen after validation."""
+    """A family frozen after validation; ``tried`` holds every setting with its score."""
 
     name: str
     model: PipelineModel
     config: dict = field(default_factory=dict)
     f1_validation: float = float("nan")
     seconds: float = float("nan")
+    tried: list[tuple[dict, float]] = field(default_factory=list)
 
 
 def weighted(rows: DataFrame) -> DataFrame:
@@ -61,18 +67,25 @@ def weighted(rows: DataFrame) -> DataFrame:
     return with_row_weights(rows, class_weights(rows))
 
 
-def training_set(rows: DataFrame) -> DataFrame:
-    """Weighted rows, cached for the many passes of a search, over enough tasks.
+@contextmanager
+def training_set(rows: DataFrame) -> Iterator[DataFrame]:
+    """Weighted rows, cached for the many passes of a fit or search and released after it.
 
-    A small panel arrives in one or two files, which would leave the iterative
-    learners with as many tasks; a large one is cut into a million rows each.
+    Rows are dealt by their values into a number of parts that only their count decides,
+    and sorted there, so the learners' seeds give the same samples on every cluster. Rows
+    that already have a weight are used as they are.
     """
     if "weight" in rows.columns:
-        return rows
+        yield rows
+        return
     count = rows.count()
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, count // 4_000), count // 1_000_000)
-    return weighted(rows).repartition(parts).persist()
+    parts = max(1, min(256, count // 4_000), count // 1_000_000)
+    out = weighted(rows)
+    cached = out.repartition(parts, *out.columns).sortWithinPartitions(*out.columns).persist()
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
 
 
 def _pipeline(features: Sequence[str], classifier: Estimator, *, scaled: bool = False) -> Pipeline:
@@ -91,15 +104,15 @@ def forest(
     min_leaf: int = 5,
     power: float = 1.0,
     bootstrap: bool = True,
+    rows_per_tree: int | None = MAX_ROWS_PER_TREE,
     seed: int = SEED,
 ) -> PipelineModel:
-    """Random forest on class-weighted rows with a cap on each tree's sample.
+    """Random forest on class-weighted rows.
 
-    ``power`` softens the weights. Node ids are cached per row, which spares deep
-    forests from shipping all trees with every pass.
+    ``power`` softens the weights. With ``bootstrap``, a tree samples ``rows_per_tree``
+    rows, or as many as there are if that is None or more. Node ids are cached per row,
+    which spares deep forests from shipping all trees with every pass.
     """
-    train = training_set(train).withColumn("weight", F.pow("weight", F.lit(float(power))))
-    rate = min(1.0, MAX_ROWS_PER_TREE / max(train.count(), 1)) if bootstrap else 1.0
     classifier = RandomForestClassifier(
         labelCol="label",
         weightCol="weight",
@@ -108,12 +121,14 @@ def forest(
         minInstancesPerNode=min_leaf,
         maxBins=MAX_BINS,
         featureSubsetStrategy="sqrt",
-        subsamplingRate=rate,
         bootstrap=bootstrap,
         cacheNodeIds=True,
         seed=seed,
     )
-    return _pipeline(features, classifier).fit(train)
+    with training_set(train) as rows:
+        if bootstrap and rows_per_tree is not None:
+            classifier.setSubsamplingRate(min(1.0, rows_per_tree / max(rows.count(), 1)))
+        return _pipeline(features, classifier).fit(rows.withColumn("weight", F.pow("weight", F.lit(float(power)))))
 
 
 def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_iter: int = 2000) -> PipelineModel:
@@ -122,19 +137,19 @@ def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_i
     With balanced weights the weight sum is the row count, which turns the
     inverse penalty C into MLlib's per-row ``regParam``.
     """
-    train = training_set(train)
     classifier = LogisticRegression(
         featuresCol="scaled",
         labelCol="label",
         weightCol="weight",
         family="multinomial",
-        regParam=1.0 / (C * max(train.count(), 1)),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
         tol=1e-5,
     )
-    return _pipeline(features, classifier, scaled=True).fit(train)
+    with training_set(train) as rows:
+        classifier.setRegParam(1.0 / (C * max(rows.count(), 1)))
+        return _pipeline(features, classifier, scaled=True).fit(rows)
 
 
 def boosting(
@@ -151,8 +166,9 @@ def boosting(
         cacheNodeIds=True,
         seed=SEED,
     )
-    one_vs_rest = OneVsRest(classifier=binary, labelCol="label", weightCol="weight")
-    return _pipeline(features, one_vs_rest).fit(training_set(train))
+    one_vs_rest = OneVsRest(classifier=binary, labelCol="label", weightCol="weight", parallelism=3)
+    with training_set(train) as rows:
+        return _pipeline(features, one_vs_rest).fit(rows)
 
 
 def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -161,7 +177,8 @@ def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) ->
     The fractional part of a repeat count is decided by a hash of the row's
     keys, so a recomputed partition repeats the same rows.
     """
-    train = training_set(train)
+    if "weight" not in train.columns:
+        train = weighted(train)
     least = train.agg(F.min("weight").alias("w")).scalar()
     copies = train.withColumn("copies", F.col("weight") / least)
     chance = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
@@ -177,7 +194,8 @@ def perceptron(
     classifier = MultilayerPerceptronClassifier(
         featuresCol="scaled", labelCol="label", layers=[len(features), *layers, 3], maxIter=max_iter, seed=SEED
     )
-    return _pipeline(features, classifier, scaled=True).fit(balanced_repeats(train, keys))
+    with training_set(train) as rows:
+        return _pipeline(features, classifier, scaled=True).fit(balanced_repeats(rows, keys))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -210,19 +228,30 @@ def best_of(candidates: Iterable[tuple[PipelineModel, dict, float]]) -> tuple[Pi
 
 
 def search(
-    name: str, fit: Callable[..., PipelineModel], grid: Iterable[dict], train: DataFrame, val: DataFrame
+    name: str,
+    fit: Callable[..., PipelineModel],
+    grid: Iterable[dict],
+    train: DataFrame,
+    val: DataFrame,
+    *,
+    parallelism: int = PARALLEL_FITS,
 ) -> Fitted:
-    """Fit each configuration on train, keep the best on the validation weeks."""
+    """Fit every configuration on train, keep the best on the validation weeks.
+
+    ``parallelism`` settings are fitted at a time, as the jobs of one fit leave most of a
+    cluster idle; the order of the grid decides ties, whichever fit ends first.
+    """
     start = time.perf_counter()
-    train = training_set(train)
+    with training_set(train) as rows, ThreadPool(max(1, parallelism)) as pool:
 
-    def tried():
-        for config in grid:
-            model = fit(train, **config)
-            yield model, config, macro_f1(score(model, val))
+        def tried(config: dict) -> tuple[PipelineModel, dict, float]:
+            model = fit(rows, **config)
+            return model, config, macro_f1(score(model, val))
 
-    model, config, f1 = best_of(tried())
-    return Fitted(name, model, dict(config), f1, time.perf_counter() - start)
+        found = pool.map(tried, list(grid), chunksize=1)
+    model, config, f1 = best_of(found)
+    scores = [(dict(c), f) for _, c, f in found]
+    return Fitted(name, model, dict(config), f1, time.perf_counter() - start, scores)
 
 
 def tune_forest(
@@ -233,14 +262,21 @@ def tune_forest(
     grid: Iterable[dict] = FOREST_GRID,
     search_trees: int = 30,
     trees: int = 100,
+    rows_per_tree: int | None = MAX_ROWS_PER_TREE,
 ) -> Fitted:
     """Search depth and weight power with few trees, refit the winner with all."""
     start = time.perf_counter()
-    train = training_set(train)
-    found = search("forest", lambda t, **c: forest(t, features, trees=search_trees, **c), grid, train, val)
-    model = forest(train, features, trees=trees, **found.config)
+    with training_set(train) as rows:
+        found = search(
+            "forest",
+            lambda t, **c: forest(t, features, trees=search_trees, rows_per_tree=rows_per_tree, **c),
+            grid,
+            rows,
+            val,
+        )
+        model = forest(rows, features, trees=trees, rows_per_tree=rows_per_tree, **found.config)
     config = {**found.config, "trees": trees}
-    return Fitted("forest", model, config, macro_f1(score(model, val)), time.perf_counter() - start)
+    return Fitted("forest", model, config, macro_f1(score(model, val)), time.perf_counter() - start, found.tried)
 
 
 def fit_families(
@@ -263,31 +299,37 @@ def fit_families(
 
     ``forest_no_bootstrap`` stands where MLlib lacks extremely randomised trees.
     """
-    train, val = training_set(train), val.persist()
-    fitted = [
-        tune_forest(train, val, features, grid=forest_grid, search_trees=search_trees, trees=trees),
-        search(
-            "forest_no_bootstrap",
-            lambda t, **c: forest(t, features, trees=no_bootstrap_trees, bootstrap=False, **c),
-            no_bootstrap_grid,
-            train,
-            val,
-        ),
-        search("logistic", lambda t, **c: logistic(t, features, **c), logistic_grid, train, val),
-        search("boosting", lambda t, **c: boosting(t, features, **c), boosting_grid, train, val),
-        search(
-            "perceptron",
-            lambda t, **c: perceptron(t, features, keys=keys, max_iter=perceptron_iterations, **c),
-            perceptron_grid,
-            train,
-            val,
-        ),
-    ]
-    train.unpersist()
+    val = val.persist()
+    with training_set(train) as rows:
+        fitted = [
+            tune_forest(rows, val, features, grid=forest_grid, search_trees=search_trees, trees=trees),
+            search(
+                "forest_no_bootstrap",
+                lambda t, **c: forest(t, features, trees=no_bootstrap_trees, bootstrap=False, **c),
+                no_bootstrap_grid,
+                rows,
+                val,
+            ),
+            search("logistic", lambda t, **c: logistic(t, features, **c), logistic_grid, rows, val),
+            search("boosting", lambda t, **c: boosting(t, features, **c), boosting_grid, rows, val),
+            search(
+                "perceptron",
+                lambda t, **c: perceptron(t, features, keys=keys, max_iter=perceptron_iterations, **c),
+                perceptron_grid,
+                rows,
+                val,
+            ),
+        ]
     val.unpersist()
     return fitted
 
 
+def settings_table(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
+    """Every setting tried, in the order of its grid, with its validation macro F1."""
+    rows = [(f.name, i, json.dumps(c), round(f1, 6)) for f in fitted for i, (c, f1) in enumerate(f.tried)]
+    return spark.createDataFrame(rows, "model string, setting int, config string, f1_macro_val double")
+
+
 def validation_table(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:
     """Families by falling validation macro F1, in family order on ties."""
     rows = [
