@@ -133,6 +133,28 @@ def csv_panel(spark, sf_dir):
     return panel.dense_panel(panel.daily_counts(events, "unit_id", "event_date"))
 
 
+def csv_skipped_files(spark, sf_dir):
+    """Delivered and open orders under headers that cannot be used; pending ones are read."""
+    root = fresh_path(spark, "csv")
+    rows = incident_rows(spark, sf_dir)
+    columns = ("fecha", "provincia", "canton", "cod", "parroquia", "servicio", "subtipo")
+    headers = (
+        ("P", ";", ("Fecha", "provincia", "Canton", "Cod_Parroquia", "Parroquia", "Servicio", "Subtipo")),
+        ("F", ",", ("Fecha", "provincia", "Canton", "Zona", "Parroquia", "Servicio", "Subtipo")),
+        ("O", "~", ("Fecha", "provincia", "Canton", "Cod_Parroquia", "Parroquia", "Servicio", "Subtipo")),
+    )
+    for status, separator, header in headers:
+        named = rows.filter(F.col("o_orderstatus") == status).select(*[F.col(c).alias(h) for c, h in zip(columns, header)])
+        named.write.option("header", True).option("sep", separator).option("escape", '"').csv(f"{root}/{status}")
+    skipped = csv_files.skipped_files(spark, root, CSV_SCOPE)
+    return skipped.groupBy("reason").agg(F.sum("rows").alias("n"))
+
+
+CSV_SKIPPED_SQL = """SELECT 'missing columns: cod_parroquia' AS reason, count(*)::BIGINT AS n FROM orders
+        WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'no separator gives 5 columns', CAST(NULL AS BIGINT)"""
+
+
 # --- profiles ---------------------------------------------------------------------
 
 
@@ -263,6 +285,7 @@ QUERIES = {
     "csv_ingest": csv_ingest,
     "csv_funnel": csv_funnel,
     "csv_panel": csv_panel,
+    "csv_skipped_files": csv_skipped_files,
     "profile_columns": profile_columns,
     "profile_top_values": profile_top_values,
     "profile_top_areas": profile_top_areas,
@@ -321,6 +344,7 @@ ORACLES = {
             (SELECT count(*) FROM ai) AS valid)
         SELECT *, raw - after_category AS dropped_category, after_category - after_area AS dropped_area,
                after_area - after_date AS dropped_date, after_date - valid AS dropped_unit FROM s""",
+    "csv_skipped_files": CSV_SKIPPED_SQL,
     "csv_panel": "WITH "
     + panel_sql(ASIA_CTE + ",\nev AS (SELECT unit_id, d FROM ai)")
     + " SELECT unit_id, dow, week_idx, week_start, n FROM panel",

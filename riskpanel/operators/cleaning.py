@@ -96,8 +96,11 @@ def clean_events(raw: DataFrame, scope: Scope) -> DataFrame:
     return judged(raw, scope).filter("has_unit").drop(*flags)
 
 
-def funnel(raw: DataFrame, scope: Scope) -> DataFrame:
-    """One row: how many rows each check kept and dropped, in a single pass."""
+def funnel(raw: DataFrame, scope: Scope, skipped: DataFrame | None = None) -> DataFrame:
+    """One row: how many rows each check kept and dropped, in a single pass.
+
+    The rows of ``skipped`` files count as raw, and as dropped before any category is seen.
+    """
     stages = judged(raw, scope).agg(
         F.count("*").alias("raw"),
         F.count_if("in_category").alias("after_category"),
@@ -106,6 +109,9 @@ def funnel(raw: DataFrame, scope: Scope) -> DataFrame:
         F.count_if("has_unit").alias("valid"),
         F.count_distinct(F.when(F.col("in_area"), F.col("archivo"))).alias("valid_files"),
     )
+    if skipped is not None:
+        unseen = skipped.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).scalar()
+        stages = stages.withColumn("raw", F.col("raw") + unseen)
     return stages.select(
         "*",
         (F.col("raw") - F.col("after_category")).alias("dropped_category"),

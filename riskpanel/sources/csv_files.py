@@ -1,8 +1,9 @@
 """Monthly incident CSVs with drifting separators, encodings and headers.
 
-One distributed pass over the text finds each file's header line and whether
-its bytes are valid UTF-8; files that share a dialect and a header are then read
-by one ``spark.read.csv``. Files are never opened on the driver.
+One distributed pass over the text finds each file's header line, whether its
+bytes are valid UTF-8 and whether a quoted field goes over a line's end; files that
+share a dialect and a header are then read by one ``spark.read.csv``. Files are
+never opened on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ class Dialect:
     separator: str
     encoding: str
     header: tuple[str, ...]
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -83,6 +86,8 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = _lines(spark, paths).withColumn("line_id", F.monotonically_increasing_id())
     first = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    odd_quotes = quotes % 2 == 1
     # Fixed-width aggregates keep the whole-text pass a hash aggregate; the header
     # texts are then fetched by line number. One row per file is broadcast, and a
     # file's first block is read in order within one partition.
@@ -90,13 +95,14 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int
         lines.groupBy("path").agg(
             F.min(F.when(first, F.col("line_id"))).alias("line_id"),
             F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+            F.bool_or(odd_quotes).alias("multi_line"),
         ),
         "files",
     )
     headers = lines.join(F.broadcast(files.select("path", "line_id")), ["path", "line_id"]).select("path", "line_id", "value")
     as_latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     rows = files.join(headers, ["path", "line_id"], "left").select(
-        "path", "utf8", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin).alias("header")
+        "path", "utf8", "multi_line", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin).alias("header")
     )
     readable: dict[Dialect, list[str]] = defaultdict(list)
     unreadable = []
@@ -109,14 +115,15 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int
             unreadable.append(row["path"])
             continue
         encoding = "UTF-8" if row["utf8"] else "ISO-8859-1"
-        readable[Dialect(fitted[0], encoding, fitted[1])].append(row["path"])
+        readable[Dialect(fitted[0], encoding, fitted[1], row["multi_line"])].append(row["path"])
     return Listing(dict(readable), unreadable)
 
 
 def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) -> DataFrame:
     """Files of one dialect as text columns ``c0, c1, ...`` plus ``archivo``.
 
-    Lines with too many fields are dropped, short ones are padded with NULL.
+    Lines with too many fields are dropped, short ones are padded with NULL. Files with
+    a quoted field over several lines are read whole, one task each; the others are split.
     """
     width = len(dialect.header)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
@@ -128,6 +135,7 @@ def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) ->
         .option("encoding", dialect.encoding)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", dialect.multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("columnPruning", False)  # pruned reads do not notice over-long lines
@@ -164,17 +172,22 @@ def _present(column: Column) -> Column:
     return F.when(~column.isin(*MISSING), column)
 
 
+def _missing(dialect: Dialect, scope: Scope) -> list[str]:
+    return sorted(scope.required_columns - set(resolve_columns(dialect.header)))
+
+
 def read_incidents(spark: SparkSession, paths: str | Sequence[str], scope: Scope) -> DataFrame:
     """All usable files as one table of the seven canonical text columns and ``archivo``.
 
-    Files without a required column are left out; absent optional columns are NULL.
+    Files without a required column are left out, see ``skipped_files``; absent optional
+    columns are NULL.
     """
     listing = list_files(spark, paths)
     parts = []
     for dialect, files in listing.readable.items():
-        resolved = resolve_columns(dialect.header)
-        if scope.required_columns - set(resolved):
+        if _missing(dialect, scope):
             continue
+        resolved = resolve_columns(dialect.header)
         columns = [
             (_present(F.col(f"c{resolved[c]}")) if c in resolved else F.lit(None).cast("string")).alias(c)
             for c in CANONICAL
@@ -185,12 +198,42 @@ def read_incidents(spark: SparkSession, paths: str | Sequence[str], scope: Scope
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_sample(spark: SparkSession, path: str, rows: int = 5000) -> tuple[DataFrame, Dialect] | None:
-    """The first rows of a file under its own header names, for profiling."""
+def _file_name(path: str) -> str:
+    return unquote(path.rsplit("/", 1)[1])
+
+
+def skipped_files(spark: SparkSession, paths: str | Sequence[str], scope: Scope) -> DataFrame:
+    """(archivo, reason, rows) of the files that ``read_incidents`` leaves out.
+
+    ``rows`` counts the rows of a file that lacks required columns, as a reader sees them,
+    and is NULL for a file that no separator fits. Without such files the result is empty.
+    """
+    listing = list_files(spark, paths)
+    columns = "archivo string, reason string, rows bigint"
+    unreadable = [(_file_name(p), f"no separator gives {MIN_COLUMNS} columns", None) for p in listing.unreadable]
+    out = spark.createDataFrame(unreadable, columns)
+    for dialect, files in listing.readable.items():
+        missing = _missing(dialect, scope)
+        if not missing:
+            continue
+        names = spark.createDataFrame([(_file_name(p),) for p in files], "archivo string")
+        counts = read_dialect(spark, dialect, files).groupBy("archivo").agg(F.count("*").alias("rows"))
+        counted = names.join(counts, "archivo", "left").select(
+            "archivo", F.lit("missing columns: " + ", ".join(missing)).alias("reason"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")
+        )
+        out = out.unionByName(counted)
+    return out
+
+
+def read_sample(spark: SparkSession, path: str, rows: int | None = None) -> tuple[DataFrame, Dialect] | None:
+    """A file under its own header names, for profiling; only its first ``rows`` where given."""
     listing = list_files(spark, path, PROFILE_MIN_COLUMNS)
     if not listing.readable:
         return None
+    if len(listing.readable) > 1:
+        raise ValueError(f"{path} holds files of several dialects: profile them one by one")
     dialect, files = next(iter(listing.readable.items()))
-    table = read_dialect(spark, dialect, files).limit(rows)
+    table = read_dialect(spark, dialect, files)
+    table = table if rows is None else table.limit(rows)
     named = [_present(F.col(f"c{i}")).alias(name) for i, name in enumerate(dialect.header)]
     return table.select(*named), dialect

@@ -149,3 +149,33 @@ def test_profile_of_a_file(spark, tmp_path):
     assert [tuple(r) for r in numbers] == [("LATITUD", -2.5, 0.0, 0.0, 50.0)]
     assert profile.samples(rows, "FECHA", 4).count() == 2
     assert csv_files.read_sample(spark, _write(tmp_path, "q.csv", "a;b\n1;2\n")) is None
+
+
+def test_quoted_line_breaks_are_part_of_a_field(spark, tmp_path):
+    broken = ROW.replace("CABECERA", '"CABE\nCERA"')
+    _write(tmp_path, "a.csv", "\n".join([HEADER, ROW, broken, broken + ";extra", ROW, ""]))
+    _write(tmp_path, "b.csv", "\n".join([HEADER, ROW, ""]))
+    rows = _events(spark, tmp_path).collect()
+    assert sorted(r["parroquia"] for r in rows) == ["CABE\nCERA", "CABECERA", "CABECERA", "CABECERA"]
+    assert {d.multi_line for d in csv_files.list_files(spark, str(tmp_path)).readable} == {False, True}
+
+
+def test_skipped_files_are_listed_and_counted(spark, tmp_path):
+    _write(tmp_path, "a.csv", f"{HEADER}\n{ROW}\n")
+    _write(tmp_path, "b.csv", "nothing to part here\n")
+    _write(tmp_path, "c.csv", "Fecha;x;y;z;w\n1;2;3;4;5\n1;2;3;4;5\n")
+    skipped = csv_files.skipped_files(spark, str(tmp_path), Scope())
+    found = {r["archivo"]: (r["reason"], r["rows"]) for r in skipped.collect()}
+    assert found == {
+        "b.csv": ("no separator gives 5 columns", None),
+        "c.csv": ("missing columns: canton, cod_parroquia, servicio", 2),
+    }
+    raw = csv_files.read_incidents(spark, str(tmp_path), Scope())
+    audit = cleaning.funnel(raw, Scope(), skipped).first()
+    assert (audit["raw"], audit["dropped_category"], audit["valid"]) == (3, 2, 1)
+
+
+def test_a_profile_reads_the_whole_file(spark, tmp_path):
+    path = _write(tmp_path, "long.csv", "a;b;c;d\n" + "1;2;3;4\n" * 6000)
+    assert csv_files.read_sample(spark, path)[0].count() == 6000
+    assert csv_files.read_sample(spark, path, 10)[0].count() == 10
