@@ -268,6 +268,32 @@ def test_near_dedup_keeps_one(spark, texts):
     assert sorted(r.doc_id or 0 for r in near_dedup.keep_one(df).collect()) == [0, 10, 60, 70]
 
 
+def brute_groups(rows, similarity=0.8):
+    runs = {i: near_dedup.word_runs(t.encode(), 5) for i, t in rows}
+    root = {i: i for i in runs}
+    for a in runs:
+        for b in runs:
+            if a < b and root[a] != root[b] and near_dedup.similarity_of(runs[a], runs[b]) >= similarity:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    return root
+
+
+def test_near_dedup_of_copies_without_their_original(spark):
+    generator = np.random.default_rng(6)
+    base = [f"w{x}" for x in generator.integers(0, 10**6, 400)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for j in generator.choice(400, 5, replace=False):
+            words[j] = f"new{generator.integers(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    want = brute_groups(rows)
+    assert len(set(want.values())) < 20
+    got = near_dedup.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {i: r for i, r in want.items() if list(want.values()).count(r) > 1} == {r.doc_id: r.group_id for r in got}
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
