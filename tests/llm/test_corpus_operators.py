@@ -294,6 +294,19 @@ def test_near_dedup_of_copies_without_their_original(spark):
     assert {i: r for i, r in want.items() if list(want.values()).count(r) > 1} == {r.doc_id: r.group_id for r in got}
 
 
+def test_near_dedup_of_short_texts(spark):
+    generator = np.random.default_rng(7)
+    rows = []
+    for i in range(240):
+        words = [f"w{x}" for x in generator.integers(0, 10**6, (14, 20, 30, 45, 60, 100)[i % 6])]
+        worn = ["other", *words[1:]] if i % 4 < 2 else [*words[:-1], "other"]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(worn))]
+    want = brute_groups(rows)
+    assert all(want[i] == i - i % 2 for i, _ in rows)
+    got = near_dedup.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert want == {r.doc_id: r.group_id for r in got}
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
