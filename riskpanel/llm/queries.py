@@ -76,7 +76,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), BOILERPLATE_SITES)
+    docs = table(spark, sf_dir, "documents")
+    cleaned = line_dedup.remove_boilerplate(docs, BOILERPLATE_SITES, one_site_per_text=True)  # as OP6_SQL counts
     return cleaned.select("row.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
 
 

@@ -164,6 +164,13 @@ def test_line_dedup_keeps_order_and_rows(spark, odd):
     assert line_dedup.remove_boilerplate(odd, 2).count() == 7
 
 
+def test_line_dedup_counts_all_sites_of_copied_texts(spark):
+    rows = [(10 * i + j, f"own {i}\nshared\nend {i}", f"s{j}") for i in range(2) for j in range(4)] + [(90, "else\nlone", "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.row.doc_id: (r.kept, r.n_removed) for r in line_dedup.remove_boilerplate(docs, 4).collect()}
+    assert kept == {i: ("else\nlone", 0) if i == 90 else (f"own {i // 10}\nend {i // 10}", 1) for i, _, _ in rows}
+
+
 def test_token_counts(spark, odd, texts):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
