@@ -97,14 +97,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    cleaned = line_dedup.remove_boilerplate(docs, BOILERPLATE_SITES, one_site_per_text=True)  # as OP6_SQL counts
+    cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), BOILERPLATE_SITES)
     return cleaned.select("row.doc_id", "n_lines", "n_removed", F.col("kept").alias("text"))
 
 
-OP6_SQL = f"""WITH texts AS (SELECT coalesce(text, '') AS text, min(coalesce('=' || source, '')) AS site FROM documents GROUP BY 1),
-    lines AS (SELECT DISTINCT site, unnest(string_split(text, chr(10))) AS line FROM texts),
-    common AS (SELECT line FROM lines WHERE trim(line, ' ') <> '' GROUP BY line HAVING count(DISTINCT site) >= {BOILERPLATE_SITES}),
+OP6_SQL = f"""WITH lines AS (SELECT DISTINCT coalesce(text, '') AS text, coalesce('=' || source, '') AS site,
+        unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+    common AS (SELECT line FROM lines WHERE trim(line, ' ') <> '' GROUP BY line
+        HAVING count(DISTINCT site) >= {BOILERPLATE_SITES} AND count(DISTINCT text) > 1),
     split AS (SELECT doc_id, row_no, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
         FROM (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents))
     SELECT doc_id, count(*) AS n_lines, count(common.line) AS n_removed,
