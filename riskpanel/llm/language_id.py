@@ -76,7 +76,7 @@ def _runs(found: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class Profiles:
-    """The languages' profiles: the n-grams in any of them, and each one's place in each, ``length`` if absent."""
+    """The languages' profiles: the n-grams in any of them, and each one's place in each, -1 if absent."""
 
     languages: list[str]
     grams: np.ndarray
@@ -90,7 +90,8 @@ class Profiles:
         best = np.argsort(-counts, kind="stable")[: self.length]  # ties go to the smaller n-gram
         at = np.minimum(np.searchsorted(self.grams, grams[best]), len(self.grams) - 1)
         known = self.grams[at] == grams[best]
-        apart = np.abs(self.places[at[known]] - np.flatnonzero(known)[:, None]).sum(axis=0)
+        places = self.places[at[known]]
+        apart = np.where(places < 0, self.length, np.abs(places - np.flatnonzero(known)[:, None])).sum(axis=0)
         apart += self.length * int((~known).sum())
         nearest = int(apart.argmin())
         return self.languages[nearest], 1 - float(apart[nearest]) / (self.length * len(best))
@@ -139,7 +140,7 @@ def train(
     languages = sorted({r["lang"] for r in found}, key=str.encode)
     grams = sorted({r["gram"] for r in found})
     number, of = {g: i for i, g in enumerate(grams)}, {x: i for i, x in enumerate(languages)}
-    places = np.full((len(grams), len(languages)), length, np.int64)
+    places = np.full((len(grams), len(languages)), -1, np.int64)
     for r in found:
         places[number[r["gram"]], of[r["lang"]]] = r["place"]
     return Profiles(languages, np.array(grams, np.uint64), places, length)
