@@ -55,11 +55,11 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("id") % QUERY_EVERY == 0, TOP_K, VECTOR_SCALE)
 
 
-OP1_SQL = f"""WITH valid AS (SELECT vec_id, list_transform(embedding, lambda x: floor({VECTOR_SCALE} * x::DOUBLE)) AS v FROM embeddings
-        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
-    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-        FROM valid q JOIN valid c ON q.vec_id % {QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+OP1_SQL = f"""WITH valid AS (SELECT vec_id, row_number() OVER () AS row_no, list_transform(embedding, lambda x: floor({VECTOR_SCALE} * x::DOUBLE)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+    scored AS (SELECT q.row_no, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM valid q JOIN valid c ON q.vec_id % {QUERY_EVERY} = 0 AND q.row_no <> c.row_no),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP_K}"""
 
 

@@ -24,18 +24,18 @@ from riskpanel.session import materialise
 
 _SUB_BLOCK = 128  # queries scored at once
 _EXACT = 1 << 53
-_LONG = (1 << 63) - 1
+_LARGEST = 1 << 61  # sums and differences of bin edges stay within 64 bits
 
 
 def _pack(vectors: DataFrame) -> DataFrame:
-    """(id, v array<bigint>) with v as packed 64-bit integers."""
+    """(row, id, v array<bigint>) with v as packed 64-bit integers."""
 
     def run(batches):
         for batch in batches:
             packed = [np.asarray(v, np.int64).tobytes() for v in batch.column("v").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], ["id", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(packed, pa.binary())], ["row", "id", "v"])
 
-    return vectors.mapInArrow(run, "id long, v binary")
+    return vectors.mapInArrow(run, "row long, id long, v binary")
 
 
 def _matrix(packed: list[bytes], width: int) -> np.ndarray:
@@ -47,23 +47,26 @@ def _matrix(packed: list[bytes], width: int) -> np.ndarray:
 
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; beyond 64 bits the nearest 64-bit integer."""
+    """Exact integer inner products; those too large for the bins of the search raise."""
     most = lambda x: int(np.abs(x.astype(object)).max()) if x.size else 0
     if a.shape[1] * most(a) * most(b) < _EXACT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return np.clip(a.astype(object) @ b.astype(object).T, -_LONG, _LONG).astype(np.int64)
+    exact = a.astype(object) @ b.astype(object).T
+    if exact.size and max(abs(exact.min()), abs(exact.max())) > _LARGEST:
+        raise OverflowError(f"an inner product is beyond {_LARGEST}; use a smaller scale")
+    return exact.astype(np.int64)
 
 
 def _blocks(left: pa.Table, right: pa.Table, width: int):
-    """Per query of the left block: its row number, the candidates' ids and scores."""
+    """Per query of the left block: its place in it, the candidates' ids and scores."""
     candidates = _matrix(right.column("v").to_pylist(), width)
-    ids = right.column("id").to_numpy()
-    queries = left.column("id").to_numpy()
+    ids, rows = right.column("id").to_numpy(), right.column("row").to_numpy()
+    queries = left.column("row").to_numpy()
     vectors = left.column("v").to_pylist()
     for start in range(0, len(queries), _SUB_BLOCK):
         scores = _scores(_matrix(vectors[start : start + _SUB_BLOCK], width), candidates)
         for i, row in enumerate(scores, start):
-            other = ids != queries[i]
+            other = rows != queries[i]
             yield i, ids[other], row[other]
 
 
@@ -75,7 +78,7 @@ def _histogram(width: int, k: int):
         if left.num_rows and right.num_rows:
             lo, step, wanted = (left.column(c).to_numpy() for c in ("lo", "step", "wanted"))
             hi = left.column("hi").to_numpy()
-            query = left.column("id").to_numpy()
+            query = left.column("row").to_numpy()
             for i, _, scores in _blocks(left, right, width):
                 bins = (scores[(scores >= lo[i]) & (scores <= hi[i])] - lo[i]) // step[i]
                 if len(bins) > wanted[i]:
@@ -85,7 +88,7 @@ def _histogram(width: int, k: int):
                 if len(found):
                     out.append(np.stack([np.full(len(found), query[i]), found, n]))
         rows = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        return pa.table({"id": rows[0], "bin": rows[1], "n": rows[2]})
+        return pa.table({"row": rows[0], "bin": rows[1], "n": rows[2]})
 
     return run
 
@@ -97,17 +100,17 @@ def _winners(width: int):
         out: list[np.ndarray] = []
         if left.num_rows and right.num_rows:
             lo, wanted = left.column("lo").to_numpy(), left.column("wanted").to_numpy()
-            query = left.column("id").to_numpy()
+            query, query_id = left.column("row").to_numpy(), left.column("id").to_numpy()
             for i, ids, scores in _blocks(left, right, width):
                 above, equal = scores > lo[i], np.sort(ids[scores == lo[i]])[: wanted[i]]
                 n = int(above.sum())
-                row = np.empty((3, n + len(equal)), np.int64)
-                row[0] = query[i]
-                row[1, :n], row[1, n:] = ids[above], equal
-                row[2, :n], row[2, n:] = scores[above], lo[i]
+                row = np.empty((4, n + len(equal)), np.int64)
+                row[0], row[1] = query[i], query_id[i]
+                row[2, :n], row[2, n:] = ids[above], equal
+                row[3, :n], row[3, n:] = scores[above], lo[i]
                 out.append(row)
-        rows = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        return pa.table({"query_id": rows[0], "vec_id": rows[1], "score": rows[2]})
+        rows = np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
+        return pa.table({"row": rows[0], "query_id": rows[1], "vec_id": rows[2], "score": rows[3]})
 
     return run
 
@@ -124,18 +127,19 @@ def top_k(
     """Each query's ``k`` highest inner products: query_id, rank (from 1), vec_id, score.
 
     ``vectors`` has vec_id and embedding; ``is_query`` is a condition on vec_id. Components
-    become floor(scale * x). Equal scores go to the smaller vec_id; a query is no candidate
+    become floor(scale * x). Equal scores go to the smaller vec_id; a row is no candidate
     of its own; with fewer than ``k`` candidates all are returned. Vectors that are null or
     hold a null or non-finite component, and rows without vec_id, take no part. Rows that
-    repeat a vec_id count once, with the smallest vector. Vectors of unequal length are
-    read as if zeros followed. An empty table gives an empty result.
+    repeat a vec_id are queries and candidates each, and meet each other. Vectors of
+    unequal length are read as if zeros followed, other columns are not read, and an empty
+    table gives an empty result. An inner product beyond 2**61 raises.
     """
     ship(vectors.sparkSession)
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("bigint"))
     kept = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite)
-    kept = kept.select(F.col("vec_id").cast("bigint").alias("id"), whole.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    kept = materialise(kept, "vectors")
+    kept = kept.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("bigint").alias("id"), whole.alias("v"))
+    kept = materialise(kept, "vectors")  # from here on a row's number is fixed
     largest = F.array_max(F.transform("v", F.abs))
     facts = kept.agg(
         F.count("*").alias("n"),
@@ -144,14 +148,14 @@ def top_k(
         F.count(F.when(is_query_on(is_query), 1)).alias("queries"),
     ).first()
     width = max(1, facts["width"])
-    bound = min(_LONG // 4, width * facts["most"] ** 2)  # no score is further from zero
+    bound = min(_LARGEST, width * facts["most"] ** 2)  # no score is further from zero
     groups = max(1, math.ceil(facts["n"] / chunk_rows))
     parts = max(1, math.ceil(facts["queries"] / block_rows))
     packed = materialise(_pack(kept), "packed-vectors")
-    spread = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    right = packed.select("id", "v", spread(groups).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("b"))
+    spread = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
+    right = packed.select("row", "id", "v", spread(groups).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("b"))
     state = packed.filter(is_query_on(is_query)).select(
-        "id", "v", F.lit(-bound).alias("lo"), F.lit(bound).alias("hi"), F.lit(k).cast("bigint").alias("wanted")
+        "row", "id", "v", F.lit(-bound).alias("lo"), F.lit(bound).alias("hi"), F.lit(k).cast("bigint").alias("wanted")
     )
     span = 2 * bound + 1
     while True:
@@ -160,28 +164,28 @@ def top_k(
             "*", spread(parts).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
         )
         pairs = left.groupBy("g", "b").cogroup(right.groupBy("g", "b"))
-        counts = pairs.applyInArrow(_histogram(width, k), "id long, bin long, n long")
-        counts = counts.groupBy("id", "bin").agg(F.sum("n").alias("n"))
-        best_first = Window.partitionBy("id").orderBy(F.col("bin").desc())
+        counts = pairs.applyInArrow(_histogram(width, k), "row long, bin long, n long")
+        counts = counts.groupBy("row", "bin").agg(F.sum("n").alias("n"))
+        best_first = Window.partitionBy("row").orderBy(F.col("bin").desc())
         ahead = F.coalesce(F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         # the bin in which the wanted-th score lies; with too few scores, the lowest bin
-        held = counts.withColumn("ahead", ahead).join(state.select("id", "wanted"), "id").filter(F.col("ahead") < F.col("wanted"))
-        chosen = held.groupBy("id").agg(F.min("bin").alias("bin"), F.max("ahead").alias("ahead"))
+        held = counts.withColumn("ahead", ahead).join(state.select("row", "wanted"), "row").filter(F.col("ahead") < F.col("wanted"))
+        chosen = held.groupBy("row").agg(F.min("bin").alias("bin"), F.max("ahead").alias("ahead"))
         low = F.col("lo") + F.col("bin") * F.lit(step)
         state = materialise(
-            state.join(chosen, "id").select(
-                "id", "v", low.alias("lo"), (low + F.lit(step - 1)).alias("hi"), (F.col("wanted") - F.col("ahead")).alias("wanted")
+            state.join(chosen, "row").select(
+                "row", "id", "v", low.alias("lo"), (low + F.lit(step - 1)).alias("hi"), (F.col("wanted") - F.col("ahead")).alias("wanted")
             ),
             "top-k-state",
         )
         span = step
         if step == 1:
             break
-    left = state.select("id", "v", "lo", "wanted", spread(parts).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    left = state.select("row", "id", "v", "lo", "wanted", spread(parts).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
     won = left.groupBy("g", "b").cogroup(right.groupBy("g", "b")).applyInArrow(
-        _winners(width), "query_id long, vec_id long, score long"
+        _winners(width), "row long, query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     ranked = won.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
