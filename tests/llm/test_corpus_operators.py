@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -60,12 +61,27 @@ def test_top_k_ties_and_invalid_vectors(spark):
     nan = float("nan")
     rows = [(i, [0.5, 0.5]) for i in range(0, 120)] + [(200, None), (201, [nan, 1.0]), (202, [None, 1.0]), (None, [1.0, 1.0]), (300, [9.0])]
     df = spark.createDataFrame(rows + rows[:5], "vec_id long, embedding array<float>")
+    df = df.select("*", F.lit(1).alias("row"), F.lit(2).alias("id"), F.lit("x").alias("score"), F.lit(3).alias("b"))
     got = topk.top_k(df, F.col("id") % 100 == 0, 3, chunk_rows=16, bins=4).collect()
-    best = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in {r.query_id for r in got}}
-    assert best == {0: [300, 1, 2], 100: [300, 0, 1], 300: [0, 1, 2]}
+    best = {q: sorted((r["rank"], r.vec_id) for r in got if r.query_id == q) for q in {r.query_id for r in got}}
+    # a repeated row meets its other self, and each of the two has its own three
+    twice = [(1, 300), (1, 300), (2, 0), (2, 0), (3, 1), (3, 1)]
+    assert best == {0: twice, 100: [(1, 300), (2, 0), (3, 0)], 300: [(1, 0), (2, 0), (3, 1)]}
     assert topk.top_k(df.limit(0), F.col("id") % 100 == 0, 3).count() == 0
 
 
+def test_top_k_of_unlike_vectors_under_one_id(spark):
+    df = spark.createDataFrame([(0, [1.0]), (5, [2.0]), (5, [3.0])], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("id") == 0, 10, scale=1.0).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 5, 3), (2, 5, 2)]
+
+
+def test_top_k_refuses_scores_beyond_64_bits(spark):
+    df = spark.createDataFrame([(0, [2.0**31]), (1, [2.0**31])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond"):
+        topk.top_k(df, F.col("id") == 0, 1, scale=1.0).collect()
+
+
 def test_sharding(spark, odd, texts):
     rows = sharding.shard_documents(odd, 4).collect()
     assert len(rows) == 7 and {r.size for r in rows if r.doc_id in (1, 2)} == {1}
@@ -94,11 +110,68 @@ def test_overlaps_tolerate_replaced_words(spark, odd):
     bench = spark.createDataFrame([(10, " ".join(item)), (11, "Short, item!"), (12, None), (None, "x"), (10, " ".join(item))], "item_id long, text string")
     df = spark.createDataFrame(docs, "doc_id long, text string").unionByName(odd.select("doc_id", "text").filter("doc_id is null or doc_id < 3 and text is null"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(df, bench).collect()}
-    assert got == {(1, 10), (2, 10), (4, 11)}
+    assert got == {(1, 10), (2, 10), (4, 11), (5, 11)}
     assert decontaminate.clean(odd, bench).count() == 7 and decontaminate.clean(odd, bench).columns == odd.columns
     assert decontaminate.overlaps(df, bench.limit(0)).count() == 0
 
 
+def brute_overlaps(docs, items, similarity=0.8, stretch=20):
+    """(doc, item, begin, agreeing words) of the best window, over all alignments."""
+    out = set()
+    for d, words in docs.items():
+        for i, item in items.items():
+            width, best = min(stretch, len(item)), None
+            for shift in range(-len(item), len(words)):
+                same = [0 <= j - shift < len(item) and w == item[j - shift] for j, w in enumerate(words)]
+                for start in range(max(0, len(words) - width) + 1):
+                    n = sum(same[start : start + width])
+                    if n * 10 >= width * 10 * similarity - 1e-6 and (best is None or (-n, start) < best):
+                        best = (-n, start)
+            if best:
+                out.add((d, i, best[1], -best[0]))
+    return out
+
+
+@pytest.mark.parametrize("n", [*range(1, 20)])
+def test_overlaps_find_every_pattern_of_replaced_words(spark, n):
+    """Every choice of floor(0.2 n) replaced words, inside a longer document and at its edges."""
+    item = [f"w{i}" for i in range(n)]
+    docs = {}
+    for which in combinations(range(n), int(0.2 * n + 1e-9)):
+        worn = [w if i not in which else "other" for i, w in enumerate(item)]
+        for before, after in ((["x"] * 3, ["y"] * 5), ([], [])) if n < 15 else ((["x"] * 3, ["y"] * 5),):
+            docs[len(docs)] = [*before, *worn, *after]
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.overlaps(rows, bench).collect()} == set(docs)
+
+
+def test_overlaps_by_hand(spark):
+    """Items of 1 to 25 words, whole, cut and worn, in documents of a few words that repeat."""
+    generator = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(6)]
+    items = {n: [f"i{n}x{j}" if generator.random() < 0.7 else str(generator.choice(common)) for j in range(n)] for n in range(1, 26)}
+    docs = {}
+    for n, item in items.items():
+        for k in range(8):
+            low = int(generator.integers(0, 1 + n // 4)) if k % 2 else 0
+            words = [w if generator.random() < 0.88 else "other" for w in item[low:]]
+            docs[100 * n + k] = [*generator.choice(common, k % 4), *words, *generator.choice(common, (k * 3) % 7), *(item if k == 7 else [])]
+    rows = spark.createDataFrame([(i, " ".join(map(str, w)), "r", 1) for i, w in docs.items()], "doc_id long, text string, item string, at int")
+    bench = spark.createDataFrame([(i, " ".join(w), 1) for i, w in items.items()], "item_id long, text string, seed int")
+    want = brute_overlaps(docs, items)
+    assert len(want) > 100
+    assert {tuple(r) for r in decontaminate.overlaps(rows, bench).collect()} == want
+
+
+def test_overlaps_look_at_all_rows_of_one_id(spark):
+    item = [f"w{i}" for i in range(20)]
+    rows = [(1, "a b c"), (1, " ".join(item)), (2, " ".join(item[:9] + ["z"] + item[9:]))]
+    bench = spark.createDataFrame([(10, " ".join(item))], "item_id long, text string")
+    got = decontaminate.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {tuple(r) for r in got} == {(1, 10, 0, 20)}
+
+
 def test_byte_bpe_equals_merges(spark, odd, texts):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -171,6 +244,19 @@ def test_line_dedup_counts_all_sites_of_copied_texts(spark):
     assert kept == {i: ("else\nlone", 0) if i == 90 else (f"own {i // 10}\nend {i // 10}", 1) for i, _, _ in rows}
 
 
+def test_line_dedup_query_counts_copies_over_sites(spark, tmp_path):
+    """The registered query and its SQL on texts that are copied over many sites."""
+    rows = [(20 * i + j, f"own {i}\nshared line\nend {i}", f"s{j}") for i in range(3) for j in range(12)]
+    rows += [(200 + j, "lone text\nof many sites", f"s{j}") for j in range(15)] + [(300, None, None), (301, "", "s0"), (None, "shared line", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(spark, con, queries.op6_line_dedup, queries.OP6_SQL, str(tmp_path)) == []
+    removed = {r.doc_id: r.n_removed for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert sum(removed.values()) == 37 and removed[None] == 1 and removed[200] == 0
+
+
 def test_token_counts(spark, odd, texts):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
