@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("temporary tables", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,7 +39,36 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet and continue from the written table."""
+    return _written(df, label, _SCOPE.get())
+
+
+def _written(df: DataFrame, label: str, scope: list[str] | None) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store it lies, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables materialised inside are deleted at the end, when nothing reads them any more.
+
+    Yields a ``materialise`` for those that stay: it belongs to the scope around this one.
+    What leaves the scope must have been written with it.
+    """
+    outer, own = _SCOPE.get(), []
+    token = _SCOPE.set(own)
+    try:
+        yield lambda df, label="table": _written(df, label, outer)
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            delete_path(spark, path)
