@@ -6,15 +6,19 @@ is written to cut lineage goes below that folder, never to a machine-local one.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 _SCOPE: ContextVar[list[str] | None] = ContextVar("temporary tables", default=None)
 
 
@@ -72,3 +76,17 @@ def temporary_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str],
         _SCOPE.reset(token)
         for path in own:
             delete_path(spark, path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for the operators that run Python there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.NamedTemporaryFile(prefix="riskpanel-", suffix=".zip", delete=False) as f, zipfile.ZipFile(f, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    atexit.register(Path(f.name).unlink, missing_ok=True)  # the driver serves it from there until then
+    context.addPyFile(f.name)
+    _SHIPPED.add(context.applicationId)
