@@ -18,9 +18,6 @@ from .fixtures import LEVEL, TRAIN_END, VAL_END, nation_daily, region_daily
 from .ingest_queries import HISTORY_END, _order_events
 from .report_queries import nation_catalogue
 
-KEYS = training.KEYS
-
-
 def prepared_panel(spark, sf_dir) -> training.Prepared:
     daily = materialise(region_daily(spark, sf_dir), "daily")
     return training.prepare(daily, Date.fromisoformat(TRAIN_END), Date.fromisoformat(VAL_END), level="region")
@@ -75,31 +72,25 @@ def no_bootstrap_search(spark, sf_dir):
     return _searched(spark, sf_dir, find)
 
 
-def logistic_search(spark, sf_dir):
-    def find(p, train, val):
-        return models.search("logistic", lambda t, **c: models.logistic(t, p.features, **c), models.LOGISTIC_GRID, train, val)
+def _searched_together(spark, sf_dir, name, fit, grid):
+    return _searched(spark, sf_dir, lambda p, train, val: models.search_together(name, lambda t, g: fit(t, p.features, g), grid, train, val))
 
-    return _searched(spark, sf_dir, find)
 
+def logistic_search(spark, sf_dir):
+    return _searched_together(spark, sf_dir, "logistic", models.fit_logistic, models.LOGISTIC_GRID)
 
-def boosting_search(spark, sf_dir):
-    def find(p, train, val):
-        return models.search("boosting", lambda t, **c: models.boosting(t, p.features, **c), models.BOOSTING_GRID, train, val)
 
-    return _searched(spark, sf_dir, find)
+def boosting_search(spark, sf_dir):
+    return _searched_together(spark, sf_dir, "boosting", models.fit_boosting, models.BOOSTING_GRID)
 
 
 def perceptron_search(spark, sf_dir):
-    def find(p, train, val):
-        fit = lambda t, **c: models.perceptron(t, p.features, keys=KEYS, **c)
-        return models.search("perceptron", fit, models.PERCEPTRON_GRID, train, val)
-
-    return _searched(spark, sf_dir, find)
+    return _searched_together(spark, sf_dir, "perceptron", models.fit_perceptrons, models.PERCEPTRON_GRID)
 
 
 def family_selection(spark, sf_dir):
     p = prepared_panel(spark, sf_dir)
-    fitted = models.fit_families(p.rows("train"), p.rows("val"), p.features, KEYS)
+    fitted = models.fit_families(p.rows("train"), p.rows("val"), p.features)
     test = models.evaluate(fitted, p.rows("test")).drop("family_order")
     return models.compared(models.validation_table(spark, fitted).drop("seconds"), test)
 

@@ -1,8 +1,9 @@
-"""Classifier families on MLlib, tuned on the chronological validation split.
+"""Classifier families, tuned on the chronological validation split.
 
-Every family is a fitted ``PipelineModel`` over the same feature columns; its
-rows carry ``label`` and ``weight``. Nothing here ever sees the test split,
-except ``evaluate``, which fits nothing.
+Forests are MLlib pipelines, fitted several settings at a time; boosting, softmax regression
+and perceptrons are fitted a whole grid at once (``boosting``, ``networks``). All read the same
+feature columns, and their rows carry ``label`` and ``weight``. Nothing here ever sees the
+test split, except ``evaluate``, which fits nothing.
 """
 
 from __future__ import annotations
@@ -12,23 +13,21 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .boosting import BoostedModel, fit_boosting
 from .metrics import PROBABILITIES, argmax, full_report, macro_report
+from .networks import NetworkModel, fit_networks
+from .passes import ProbabilityModel
 from .weights import class_weights, with_row_weights
 
 # Seed, bootstrap cap per tree, bins, and the tuning grids.
@@ -43,7 +42,7 @@ LOGISTIC_GRID = tuple({"C": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0))
 BOOSTING_GRID = tuple(
     {"iterations": n, "rate": r, "depth": d} for n, r, d in product((100, 200), (0.05, 0.10), (2, 3))
 )
-PERCEPTRON_GRID = tuple({"layers": hidden} for hidden in ((32,), (64, 32), (128, 64)))
+PERCEPTRON_GRID = tuple({"layers": h, "alpha": a} for h, a in product(((32,), (64, 32), (128, 64)), (1e-4, 1e-3)))
 CONVERGENCE_SIZES = (1, 5, 10, 25, 50, 75, 100)
 
 #: Settings of a search that are fitted at a time.
@@ -55,7 +54,7 @@ class Fitted:
     """A family frozen after validation; ``tried`` holds every setting with its score."""
 
     name: str
-    model: PipelineModel
+    model: PipelineModel | ProbabilityModel
     config: dict = field(default_factory=dict)
     f1_validation: float = float("nan")
     seconds: float = float("nan")
@@ -88,11 +87,8 @@ def training_set(rows: DataFrame) -> Iterator[DataFrame]:
         cached.unpersist()
 
 
-def _pipeline(features: Sequence[str], classifier: Estimator, *, scaled: bool = False) -> Pipeline:
-    stages: list = [VectorAssembler(inputCols=list(features), outputCol="features")]
-    if scaled:  # fitted with the pipeline, hence on training rows only
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
-    return Pipeline(stages=[*stages, classifier])
+def _pipeline(features: Sequence[str], classifier: Estimator) -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), classifier])
 
 
 def forest(
@@ -131,44 +127,26 @@ def forest(
         return _pipeline(features, classifier).fit(rows.withColumn("weight", F.pow("weight", F.lit(float(power)))))
 
 
-def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_iter: int = 2000) -> PipelineModel:
-    """Multinomial logistic regression on standardised features, balanced weights.
+def fit_logistic(train: DataFrame, features: Sequence[str], grid: Sequence[dict], *, max_iter: int = 2000) -> list[NetworkModel]:
+    """Multinomial logistic regressions on standardised features, balanced weights, one per ``C`` of the grid.
 
-    With balanced weights the weight sum is the row count, which turns the
-    inverse penalty C into MLlib's per-row ``regParam``.
+    With balanced weights the weight sum is the row count, which turns the inverse penalty C
+    into an L2 penalty on the mean loss.
     """
-    classifier = LogisticRegression(
-        featuresCol="scaled",
-        labelCol="label",
-        weightCol="weight",
-        family="multinomial",
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=1e-5,
-    )
     with training_set(train) as rows:
-        classifier.setRegParam(1.0 / (C * max(rows.count(), 1)))
-        return _pipeline(features, classifier, scaled=True).fit(rows)
+        n = max(rows.count(), 1)
+        settings = [{"hidden": (), "l2": 1.0 / (c["C"] * n)} for c in grid]
+        return fit_networks(rows, features, settings, max_iter=max_iter, tolerance=1e-6, patience=3)
 
 
-def boosting(
-    train: DataFrame, features: Sequence[str], *, iterations: int = 100, rate: float = 0.1, depth: int = 3
-) -> PipelineModel:
-    """Gradient-boosted trees, one against the rest (MLlib's are binary)."""
-    binary = GBTClassifier(
-        labelCol="label",
-        weightCol="weight",
-        maxIter=iterations,
-        stepSize=rate,
-        maxDepth=depth,
-        maxBins=MAX_BINS,
-        cacheNodeIds=True,
-        seed=SEED,
-    )
-    one_vs_rest = OneVsRest(classifier=binary, labelCol="label", weightCol="weight", parallelism=3)
+def logistic(train: DataFrame, features: Sequence[str], *, C: float = 1.0, max_iter: int = 2000) -> NetworkModel:
+    return fit_logistic(train, features, [{"C": C}], max_iter=max_iter)[0]
+
+
+def boosting(train: DataFrame, features: Sequence[str], *, iterations: int = 100, rate: float = 0.1, depth: int = 3) -> BoostedModel:
+    """Multiclass gradient-boosted trees on weighted rows."""
     with training_set(train) as rows:
-        return _pipeline(features, one_vs_rest).fit(rows)
+        return fit_boosting(rows, features, [{"iterations": iterations, "rate": rate, "depth": depth}])[0]
 
 
 def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -187,27 +165,25 @@ def balanced_repeats(train: DataFrame, keys: Sequence[str], seed: int = SEED) ->
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1), count))).drop("copies", "copy", "weight")
 
 
-def perceptron(
-    train: DataFrame, features: Sequence[str], *, keys: Sequence[str], layers: Sequence[int] = (64, 32), max_iter: int = 800
-) -> PipelineModel:
-    """Multilayer perceptron; MLlib's takes no weights, so rows are repeated instead."""
-    classifier = MultilayerPerceptronClassifier(
-        featuresCol="scaled", labelCol="label", layers=[len(features), *layers, 3], maxIter=max_iter, seed=SEED
-    )
+def fit_perceptrons(train: DataFrame, features: Sequence[str], grid: Sequence[dict], *, max_iter: int = 800) -> list[NetworkModel]:
+    """Multilayer perceptrons on standardised features, one per ``layers`` and ``alpha`` of the grid.
+
+    Rows count by their class weight; ``alpha`` is the L2 penalty of a whole training set.
+    """
     with training_set(train) as rows:
-        return _pipeline(features, classifier, scaled=True).fit(balanced_repeats(rows, keys))
+        n = max(rows.count(), 1)
+        settings = [{"hidden": tuple(c["layers"]), "l2": c.get("alpha", 1e-4) / n} for c in grid]
+        return fit_networks(rows, features, settings, max_iter=max_iter, tolerance=1e-4, seed=SEED)
+
+
+def perceptron(train: DataFrame, features: Sequence[str], *, max_iter: int = 800, **config) -> NetworkModel:
+    return fit_perceptrons(train, features, [config], max_iter=max_iter)[0]
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score(model: PipelineModel | ProbabilityModel, rows: DataFrame) -> DataFrame:
     """Add ``p_low, p_medium, p_high`` and ``pred`` (lowest class on ties)."""
     out = model.transform(rows)
-    if "probability" in out.columns:
-        p = vector_to_array("probability")
-    else:
-        # one-against-rest margins of boosted trees, squashed and normalised
-        raw = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-        total = F.aggregate(raw, F.lit(0.0), lambda a, b: a + b)
-        p = F.transform(raw, lambda v: v / total)
+    p = F.col("probability") if isinstance(model, ProbabilityModel) else vector_to_array("probability")
     scored = out.withColumn("_p", p).withColumns({c: F.col("_p")[k] for k, c in enumerate(PROBABILITIES)})
     return scored.select(*rows.columns, *PROBABILITIES).withColumn("pred", argmax())
 
@@ -254,6 +230,25 @@ def search(
     return Fitted(name, model, dict(config), f1, time.perf_counter() - start, scores)
 
 
+def search_together(
+    name: str,
+    fit: Callable[..., Sequence[ProbabilityModel]],
+    grid: Iterable[dict],
+    train: DataFrame,
+    val: DataFrame,
+) -> Fitted:
+    """Like ``search``, for a learner that fits the whole grid at once: ``fit(rows, grid)``."""
+    start, grid = time.perf_counter(), list(grid)
+    with training_set(train) as rows:
+        found = fit(rows, grid)
+    scored = [score(m, val).select(F.lit(i).alias("setting"), "label", "pred") for i, m in enumerate(found)]
+    report = macro_report(reduce(DataFrame.unionByName, scored), ["setting"]).collect() if scored else []
+    f1 = {r["setting"]: float(r["f1_macro"]) for r in report}
+    tried = [(m, dict(c), f1.get(i, float("nan"))) for i, (m, c) in enumerate(zip(found, grid, strict=True))]
+    model, config, best = best_of(tried)
+    return Fitted(name, model, config, best, time.perf_counter() - start, [(c, f) for _, c, f in tried])
+
+
 def tune_forest(
     train: DataFrame,
     val: DataFrame,
@@ -283,7 +278,6 @@ def fit_families(
     train: DataFrame,
     val: DataFrame,
     features: Sequence[str],
-    keys: Sequence[str],
     *,
     forest_grid: Iterable[dict] = FOREST_GRID,
     no_bootstrap_grid: Iterable[dict] = NO_BOOTSTRAP_GRID,
@@ -295,31 +289,28 @@ def fit_families(
     no_bootstrap_trees: int = 300,
     perceptron_iterations: int = 800,
 ) -> list[Fitted]:
-    """Five families from train and validation rows; there is no test argument.
+    """Five families from train and validation rows, several at a time; there is no test argument.
 
     ``forest_no_bootstrap`` stands where MLlib lacks extremely randomised trees.
     """
     val = val.persist()
-    with training_set(train) as rows:
-        fitted = [
-            tune_forest(rows, val, features, grid=forest_grid, search_trees=search_trees, trees=trees),
-            search(
+    with training_set(train) as rows, ThreadPool(PARALLEL_FITS) as pool:
+        families = [
+            lambda: tune_forest(rows, val, features, grid=forest_grid, search_trees=search_trees, trees=trees),
+            lambda: search(
                 "forest_no_bootstrap",
                 lambda t, **c: forest(t, features, trees=no_bootstrap_trees, bootstrap=False, **c),
                 no_bootstrap_grid,
                 rows,
                 val,
             ),
-            search("logistic", lambda t, **c: logistic(t, features, **c), logistic_grid, rows, val),
-            search("boosting", lambda t, **c: boosting(t, features, **c), boosting_grid, rows, val),
-            search(
-                "perceptron",
-                lambda t, **c: perceptron(t, features, keys=keys, max_iter=perceptron_iterations, **c),
-                perceptron_grid,
-                rows,
-                val,
+            lambda: search_together("logistic", lambda t, g: fit_logistic(t, features, g), logistic_grid, rows, val),
+            lambda: search_together("boosting", lambda t, g: fit_boosting(t, features, g), boosting_grid, rows, val),
+            lambda: search_together(
+                "perceptron", lambda t, g: fit_perceptrons(t, features, g, max_iter=perceptron_iterations), perceptron_grid, rows, val
             ),
         ]
+        fitted = pool.map(lambda family: family(), families, chunksize=1)
     val.unpersist()
     return fitted
 

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.boosting import BoostedModel
+from ..operators.networks import NetworkModel
+from ..operators.passes import ProbabilityModel
+
 
 @dataclass(frozen=True)
 class Package:
     """A frozen model with everything scoring needs; scoring never refits any of it."""
 
-    model: PipelineModel
+    model: PipelineModel | ProbabilityModel
     model_name: str
     config: dict
     features: tuple[str, ...]
@@ -34,12 +38,33 @@ class Package:
 _TABLES = ("thresholds", "edges", "mask", "units")
 
 
+_KINDS = {"boosting": BoostedModel, "network": NetworkModel}
+
+
+def save_model(spark: SparkSession, model: PipelineModel | ProbabilityModel, path: str) -> None:
+    """A pipeline in its own format; other models as one row of plain values."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+        return
+    kind = next(k for k, c in _KINDS.items() if isinstance(model, c))
+    rows = [(kind, json.dumps(model.settings()))]
+    spark.createDataFrame(rows, "kind string, settings string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str, kind: str) -> PipelineModel | ProbabilityModel:
+    if kind == "pipeline":
+        return PipelineModel.load(path)
+    row = spark.read.parquet(path).first()
+    return _KINDS[row["kind"]].from_settings(json.loads(row["settings"]))
+
+
 def save_package(package: Package, path: str) -> None:
-    package.model.write().overwrite().save(f"{path}/model")
+    save_model(package.units.sparkSession, package.model, f"{path}/model")
     for name in _TABLES:
         getattr(package, name).write.mode("overwrite").parquet(f"{path}/{name}")
     settings = {
         "model_name": package.model_name,
+        "model_kind": "pipeline" if isinstance(package.model, PipelineModel) else "own",
         "config": json.dumps(package.config),
         "features": list(package.features),
         "level": package.level,
@@ -49,7 +74,7 @@ def save_package(package: Package, path: str) -> None:
     }
     spark = package.units.sparkSession
     schema = (
-        "model_name string, config string, features array<string>, level string, "
+        "model_name string, model_kind string, config string, features array<string>, level string, "
         "origin date, n_weeks int, train_end date"
     )
     spark.createDataFrame([settings], schema).write.mode("overwrite").parquet(f"{path}/settings")
@@ -60,7 +85,8 @@ def load_package(spark: SparkSession, path: str) -> Package:
     settings["config"] = json.loads(settings["config"])
     settings["features"] = tuple(settings["features"])
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in _TABLES}
-    return Package(model=PipelineModel.load(f"{path}/model"), **settings, **tables)
+    model = load_model(spark, f"{path}/model", settings.pop("model_kind", "pipeline"))
+    return Package(model=model, **settings, **tables)
 
 
 def save_matrix(matrix: DataFrame, path: str) -> None:

@@ -26,7 +26,7 @@ def data(spark):
 def fitted(data):
     train, val, _ = data
     return models.fit_families(
-        train, val, FEATURES, ["id"],
+        train, val, FEATURES,
         forest_grid=[{"depth": 4, "power": 1.0}], no_bootstrap_grid=[{"depth": 4, "min_leaf": 1}],
         logistic_grid=[{"C": 0.01}, {"C": 1.0}], boosting_grid=[{"iterations": 3, "rate": 0.1, "depth": 2}],
         perceptron_grid=[{"layers": (8,)}], trees=10, search_trees=5, no_bootstrap_trees=10, perceptron_iterations=30,
@@ -66,7 +66,7 @@ def test_scaler_is_fitted_on_train_only(data):
     shifted = val.withColumns({f: F.col(f) + 100 for f in FEATURES})
     model = models.search("logistic", lambda t, **c: models.logistic(t, FEATURES, **c), [{"C": 1.0}], train, shifted).model
     mean = train.agg(F.avg("f0")).first()[0]
-    assert model.stages[1].mean[0] == pytest.approx(mean)
+    assert model.mean[0] == pytest.approx(mean)
 
 
 def test_separable_rows_are_learned_and_the_seed_repeats(spark):
