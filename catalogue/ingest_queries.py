@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from riskpanel.functions.calendar import month_key
 from riskpanel.functions.text import normalise
-from riskpanel.operators import cleaning, panel, profile, validation
+from riskpanel.operators import cleaning, panel, profile, state, validation
 from riskpanel.operators.cleaning import Scope
 from riskpanel.session import fresh_path
 from riskpanel.sources import csv_files, history
 
-from .fixtures import EVENTS_SQL, nation_daily, panel_sql, r6, table
+from .fixtures import EVENTS_SQL, FEATURE_SQL, FEATURES, LEVEL, nation_daily, panel_sql, r6, split_sql, table
 
 EVENT_SCOPE = Scope(category="Click-through", area_level="canton", area="EVEN", unit_level="parroquia")
 
@@ -186,7 +186,7 @@ def _between(daily, first, last):
     return daily.filter(F.col("event_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
-# name, first day, last day, today, unit missing from the catalogue, strict
+# name, first day, last day, today, unit whose code the catalogue does not know, strict
 SCENARIOS = (
     ("new month", "2000-07-01", "2000-07-31", "2001-01-01", None, False),
     ("loaded month", "2000-06-01", "2000-06-30", "2001-01-01", None, False),
@@ -205,15 +205,20 @@ def _catalogue(spark, sf_dir, without=None):
 
 
 def batch_verdict(spark, sf_dir):
+    """All scenarios judged at once; what each one's sender has to mend."""
     daily = nation_daily(spark, sf_dir)
     loaded = panel.months(_between(daily, "1900-01-01", HISTORY_END))
-    out = None
-    for name, first, last, today, without, strict in SCENARIOS:
-        batch = _between(daily, first, last)
-        row = validation.batch_verdict(batch, _catalogue(spark, sf_dir, without), loaded, today, strict=strict)
-        row = row.select(F.lit(name).alias("batch"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    columns = ("batch", "first", "last", "today", "without", "strict")
+    rows = spark.createDataFrame(SCENARIOS, ", ".join(f"{c} {'boolean' if c == 'strict' else 'string'}" for c in columns))
+    dates = {c: F.col(c).cast("date") for c in ("first", "last", "today")}
+    scenarios = rows.withColumns(dates)
+    # every day belongs to the few scenarios that span it
+    batches = daily.join(F.broadcast(scenarios), F.col("event_date").between(F.col("first"), F.col("last")))
+    renamed = F.when(F.col("unit_id") == F.col("without"), F.concat(F.lit("new "), "unit_id")).otherwise(F.col("unit_id"))
+    batches = batches.select("batch", renamed.alias("unit_id"), "event_date", "n")
+    judged = validation.judge_batches(batches, _catalogue(spark, sf_dir), loaded, scenarios.select("batch", "today", "strict"))
+    lists = {c: F.concat_ws(",", c) for c in ("unit_ids", "month_names", "loaded_names")}
+    return judged.withColumns(lists).drop("today", "strict")
 
 
 def month_overlap(spark, sf_dir):
@@ -252,6 +257,37 @@ def history_append(spark, sf_dir):
     return history.read_history(spark, path).groupBy("month", "batch").agg(F.count("*").alias("n"))
 
 
+def batch_resent(spark, sf_dir):
+    """A batch sent again with other months takes the place of all it held; a third sending that
+    stops before the ledger names it changes nothing. Events and daily counts per month and batch."""
+    path = fresh_path(spark, "history")
+    events = _order_events(spark, sf_dir)
+    later = events.filter(F.col("event_date") > F.lit(HISTORY_END).cast("date"))
+    history.write_batch(_between(events, "1900-01-01", HISTORY_END), path, "seed")
+    history.write_batch(later, path, "later")
+    history.write_batch(later.filter(F.month("event_date") % 2 == 0), path, "later")
+    # folders of a version that no ledger file names
+    history._write(history.history_columns(later), f"{path}/events", "later", "stopped")
+    counted = history.read_history(spark, path).groupBy("month", "batch").agg(F.count("*").alias("events"))
+    daily = history.read_daily(spark, path).groupBy("month", "batch").agg(F.sum("n").alias("daily"))
+    return counted.join(daily, ["month", "batch"], "full")
+
+
+STATE_CUTS = ("1994-06-17", "1997-01-31", "1999-12-31", "2000-07-15")
+
+
+def scoring_state(spark, sf_dir):
+    """The features of the coming week from a state that five batches advanced one after the other."""
+    daily = nation_daily(spark, sf_dir)
+    bounds = ("1900-01-01", *STATE_CUTS, "2100-01-01")
+    carried = state.empty_state(daily, panel.read_meta(daily).origin)
+    for first, last in zip(bounds[:-1], bounds[1:]):
+        part = daily.filter((F.col("event_date") > F.lit(first).cast("date")) & (F.col("event_date") <= F.lit(last).cast("date")))
+        carried = state.written(state.advanced(carried, part))
+    rows = state.next_week_features(carried, LEVEL)
+    return rows.withColumns({c: r6(F.col(c)) for c in FEATURES if c.startswith(("media", "densidad"))})
+
+
 def history_daily(spark, sf_dir):
     """The daily counts kept next to the events, with the months they cover."""
     path = fresh_path(spark, "history")
@@ -294,6 +330,8 @@ QUERIES = {
     "month_overlap": month_overlap,
     "unknown_units": unknown_units,
     "history_append": history_append,
+    "batch_resent": batch_resent,
+    "scoring_state": scoring_state,
     "history_daily": history_daily,
     "history_union": history_union,
     "frozen_panel": frozen_panel,
@@ -310,18 +348,25 @@ ASIA_CTE = """ai AS (SELECT CAST(c_nationkey AS VARCHAR) AS unit_id, n_name, CAS
 
 
 def _verdict_sql(name, first, last, today, without, strict):
-    unknown = f"count(DISTINCT unit_id) FILTER (unit_id = '{without}')" if without else "0"
     loaded = "months_loaded > 0" if strict else "months_loaded > 0 AND months_loaded = months"
-    return f"""SELECT *, reason IS NULL AS accepted, reason IS NULL AND days < 25 AS partial_month FROM (
+    month = "strftime(d, '%Y-%m')"
+    names = lambda c, where="": f"coalesce(string_agg(DISTINCT {c}, ',' ORDER BY {c}){where}, '')"
+    return f"""SELECT *, reason IS NULL AS accepted, reason IS NULL AND days < 25 AS partial_month,
+        CASE reason WHEN 'empty' THEN 'no record is left in scope'
+            WHEN 'future dates' THEN future_records || ' record(s) after {today}' WHEN 'unknown units' THEN replace(unit_ids, ',', ', ')
+            WHEN 'months already loaded' THEN replace(loaded_names, ',', ', ') END AS detail FROM (
         SELECT *, CASE WHEN records = 0 THEN 'empty' WHEN future_records > 0 THEN 'future dates'
                        WHEN unknown_units > 0 THEN 'unknown units'
                        WHEN {loaded} THEN 'months already loaded' END AS reason FROM (
         SELECT '{name}' AS batch, count(*) AS records,
                count(*) FILTER (d > DATE '{today}') AS future_records, count(DISTINCT d) AS days,
-               CAST({unknown} AS BIGINT) AS unknown_units, count(DISTINCT strftime(d, '%Y-%m')) AS months,
-               count(DISTINCT strftime(d, '%Y-%m')) FILTER (strftime(d, '%Y-%m') IN
-                   (SELECT strftime(d, '%Y-%m') FROM oe WHERE d <= DATE '{HISTORY_END}')) AS months_loaded
-        FROM oe WHERE d BETWEEN DATE '{first}' AND DATE '{last}'))"""
+               count(DISTINCT u) FILTER (u LIKE 'new %') AS unknown_units, count(DISTINCT {month}) AS months,
+               count(DISTINCT {month}) FILTER (old) AS months_loaded,
+               {names("u", " FILTER (u LIKE 'new %')")} AS unit_ids, {names(month)} AS month_names,
+               {names(month, " FILTER (old)")} AS loaded_names
+        FROM (SELECT d, CASE WHEN unit_id = '{without or ""}' THEN 'new ' || unit_id ELSE unit_id END AS u,
+                     strftime(d, '%Y-%m') IN (SELECT strftime(d, '%Y-%m') FROM oe WHERE d <= DATE '{HISTORY_END}') AS old
+              FROM oe WHERE d BETWEEN DATE '{first}' AND DATE '{last}')))"""
 
 
 ORACLES = {
@@ -372,6 +417,13 @@ ORACLES = {
     "history_append": f"""WITH {ORDER_CTE} SELECT strftime(d, '%Y-%m') AS month,
             CASE WHEN d <= DATE '{HISTORY_END}' THEN 'seed' ELSE 'later' END AS batch, count(*) AS n
         FROM oe GROUP BY 1, 2""",
+    "batch_resent": f"""WITH {ORDER_CTE} SELECT strftime(d, '%Y-%m') AS month,
+            CASE WHEN d <= DATE '{HISTORY_END}' THEN 'seed' ELSE 'later' END AS batch, count(*) AS events, count(*) AS daily
+        FROM oe WHERE d <= DATE '{HISTORY_END}' OR month(d) % 2 = 0 GROUP BY 1, 2""",
+    "scoring_state": f"""WITH {split_sql(1)}, {FEATURE_SQL}
+        SELECT unit_id, dow, week_idx, week_start, """
+    + ", ".join(f"round({c}, 6) AS {c}" if c.startswith(("media", "densidad")) else c for c in FEATURES)
+    + " FROM ft WHERE n IS NULL",
     "history_daily": f"""WITH {ORDER_CTE}
         SELECT unit_id, d AS event_date, count(*) AS n, strftime(d, '%Y-%m') AS month FROM oe GROUP BY 1, 2""",
     "history_union": f"""WITH {ORDER_CTE} SELECT unit_id, o_orderstatus AS canton,

@@ -1,8 +1,9 @@
 """Score the coming week from a new batch with a frozen package.
 
-Order matters: validate, rebuild the panel against the frozen origin and
-catalogue, score, and only then write the batch to the history. A rejected batch
-changes nothing on disk.
+Order matters: validate, advance the panel state, score, and only then write the batch
+and the state to the history. A rejected batch changes nothing on disk. What is read is the
+batch, the ledger and the state; the daily counts of all batches are read only where no
+state was written for them, or where the batch replaces another one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import binning, features, models, panel, risk, split, validation
+from ..operators import state as panel_state
 from ..operators.cleaning import Scope, clean_events
 from ..session import materialise
 from ..sources import history as store
@@ -32,28 +34,41 @@ class ScoringResult:
     target_week: Date | None = None
     matrix: DataFrame | None = None
     summary: dict[str, int] | None = None
+    detail: str | None = None  # what the sender of a rejected batch must mend
 
 
-def score_next_week(daily: DataFrame, package: Package) -> tuple[Date, DataFrame]:
-    """The risk matrix of the first week after the daily counts, nothing refitted."""
-    known = validation.drop_unknown_units(daily, package.units)
-    early = panel.before_origin(known, package.origin).first()["events_before_origin"]
-    if early:
-        raise ValueError(f"{early} event(s) precede the frozen origin {package.origin}")
-    meta = panel.read_meta(known, origin=package.origin)
-    cells = panel.dense_panel(known, meta, units=package.units, future_weeks=1)
-    wide = features.build_features(split.apply_mask(cells, package.mask), package.level)
-    features.check_feature_contract(features.feature_names(package.level), package.features)
-    target = binning.apply_bins(features.next_week_rows(wide), package.edges, package.features)
-    target = materialise(target, "target-week")
+def state_of(daily: DataFrame, package: Package) -> panel_state.PanelState:
+    """The panel state after daily counts, against the frozen origin and catalogue."""
+    return panel_state.advanced(panel_state.empty_state(package.units, package.origin), daily)
+
+
+def score_state(state: panel_state.PanelState, package: Package) -> tuple[Date, DataFrame]:
+    """The risk matrix of the first week after the state, nothing refitted."""
+    wide = split.apply_mask(panel_state.next_week_features(state, package.level), package.mask)
+    keys = ("unit_id", "dow", "week_idx", "week_start", "eligible")
+    features.check_feature_contract([c for c in wide.columns if c not in keys], package.features)
+    target = materialise(binning.apply_bins(wide, package.edges, package.features), "target-week")
     # only eligible cells pass through the model; the others keep NULL probabilities
     scored = models.score(package.model, target.filter("eligible"))
     scored = scored.unionByName(target.filter(~F.col("eligible")), allowMissingColumns=True)
-    return meta.next_week, risk.risk_matrix(scored, package.units, meta.next_week)
+    return state.next_week, risk.risk_matrix(scored, package.units, state.next_week)
+
+
+def score_next_week(daily: DataFrame, package: Package) -> tuple[Date, DataFrame]:
+    """The risk matrix of the first week after the daily counts, nothing refitted."""
+    return score_state(state_of(daily, package), package)
 
 
-def _records(daily: DataFrame) -> int:
-    return daily.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+def _carried(spark: SparkSession, path: str, others: store.Snapshot, valid: store.Snapshot, package: Package) -> panel_state.PanelState:
+    """The state after all other batches: the written one if it is just that, else made from their daily counts."""
+    state = store.read_state(spark, path, valid) if others == valid else None
+    if state is not None and state.origin == package.origin:
+        units = state.cells.select("unit_id").distinct()
+        frozen = package.units.select("unit_id").distinct()
+        both = units.withColumn("a", F.lit(1)).join(frozen.withColumn("b", F.lit(1)), "unit_id", "full")
+        if both.filter("a IS NULL OR b IS NULL").isEmpty():
+            return state
+    return state_of(panel.daily_counts(store.read_daily(spark, path, others), "unit_id", "event_date", "n"), package)
 
 
 def score_batch(
@@ -76,27 +91,26 @@ def score_batch(
     spark = events.sparkSession
     events = materialise(store.history_columns(events), "batch")
     new_daily = materialise(panel.daily_counts(events, "unit_id", "event_date"), "batch-daily")
-    loaded = store.read_daily(spark, history_path)
-    others = loaded.filter(F.col("batch") != batch)
-    months = store.loaded_months(others if replay else loaded)
+    valid = store.snapshot(spark, history_path)
+    others = valid.without(batch)
+    months = store.months_table(spark, (others if replay else valid).months)
     verdict = validation.batch_verdict(new_daily, package.units, months, today, strict=strict).first()
     if not verdict["accepted"]:
-        return ScoringResult(False, verdict["reason"], False, 0, _records(loaded))
+        return ScoringResult(False, verdict["reason"], False, 0, valid.records, detail=verdict["detail"])
 
-    old_records = _records(others)
-    both = others.select("unit_id", "event_date", "n").unionByName(new_daily)
-    daily = materialise(panel.daily_counts(both, "unit_id", "event_date", "n"), "daily")
-    target_week, matrix = score_next_week(daily, package)
+    state = panel_state.advanced(_carried(spark, history_path, others, valid, package), new_daily)
+    state = panel_state.written(state)
+    target_week, matrix = score_state(state, package)
     matrix = materialise(matrix, "matrix")
     summary = {r["nivel"]: r["cells"] for r in risk.level_summary(matrix).collect()}
     if save:
-        store.write_batch(events, history_path, batch)
+        store.write_batch(events, history_path, batch, state=state)
     return ScoringResult(
         True,
         None,
         verdict["partial_month"],
         verdict["records"],
-        old_records + verdict["records"],
+        others.records + verdict["records"],
         target_week,
         matrix,
         summary,
@@ -117,6 +131,6 @@ def score_csv(
     try:
         raw = read_incidents(spark, paths, scope)
     except (FileNotFoundError, ValueError) as unusable:
-        kept = _records(store.read_daily(spark, history_path))
-        return ScoringResult(False, f"unusable: {unusable}", False, 0, kept)
+        kept = store.snapshot(spark, history_path).records
+        return ScoringResult(False, f"unusable: {unusable}", False, 0, kept, detail=str(unusable))
     return score_batch(clean_events(raw, scope), package, history_path, batch, today, **options)

@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -55,10 +56,47 @@ def _written(df: DataFrame, label: str, scope: list[str] | None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _store(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder in whatever store it lies, if it is there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = _store(spark, path)
+    files.delete(place, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, place = _store(spark, folder)
+    return [str(f.getPath().getName()) for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    files, place = _store(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not be there yet; False if it is."""
+    files, place = _store(spark, path)
+    try:
+        stream = files.create(place, False)
+    except Py4JJavaError as failed:
+        if "FileAlreadyExists" not in failed.java_exception.getClass().getName():
+            raise
+        return False
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
 
 
 @contextmanager
