@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskpanel.operators import binning, features, impurity, labels, split, weights
+from riskpanel.operators import binning, comparison, features, impurity, labels, split, weights
 
 from riskpanel.session import materialise
 
@@ -54,12 +54,22 @@ def future_week_rows(spark, sf_dir):
     return rows.select(*KEYS, "week_start", *_rounded(FEATURES))
 
 
+def matrix_diff(spark, sf_dir):
+    """What changed in the features of a unit and weekday from the last observed week to the coming one."""
+    rows = materialise(featured_panel(spark, sf_dir).select(*KEYS, *_rounded(FEATURES)), "features")
+    coming = rows.agg(F.max("week_idx")).scalar()
+    left, right = (rows.filter(F.col("week_idx") == coming - k).drop("week_idx") for k in (1, 0))
+    return comparison.matrix_diff(left, right, ["unit_id", "dow"]).withColumns(
+        {c: r6(F.col(c).cast("double")) for c in ("left_value", "right_value")}
+    )
+
+
 def _ladder(spark, sf_dir):
     return labels.threshold_ladder(labels.training_histogram(split_panel(spark, sf_dir)))
 
 
 def threshold_ladder(spark, sf_dir):
-    shares = ("low", "high", "share_low", "share_medium", "share_high", "mass_high_pct")
+    shares = ("low", "high", "share_low", "share_medium", "share_high", "mass_low_pct", "mass_high_pct")
     return _ladder(spark, sf_dir).select(
         "rung_order", "rung", *_rounded(shares), "collapsed_days", "viable", "matches_percentiles", "high_exceeds_medium"
     )
@@ -162,6 +172,7 @@ QUERIES = {
     "historical_density": historical_density,
     "feature_matrix": feature_matrix,
     "future_week_rows": future_week_rows,
+    "matrix_diff": matrix_diff,
     "threshold_ladder": threshold_ladder,
     "thresholds_global": _rung("global"),
     "thresholds_positive": _rung("positivos"),
@@ -260,10 +271,18 @@ ORACLES = {
     "feature_matrix": f"WITH {FEATURED} SELECT {KEY_SQL}, split, {_round_sql(FEATURES)} FROM ft",
     "future_week_rows": f"""WITH {FEATURED}
         SELECT {KEY_SQL}, week_start, {_round_sql(FEATURES)} FROM ft WHERE split = 'future'""",
+    "matrix_diff": f"""WITH {split_sql(1)}, {FEATURE_SQL},
+        long AS (UNPIVOT (SELECT unit_id, dow, week_idx, {", ".join(f"round({c}, 6) AS {c}" for c in FEATURES)} FROM ft)
+                 ON {", ".join(FEATURES)} INTO NAME "column" VALUE v),
+        w AS (SELECT max(week_idx) AS coming FROM ft)
+        SELECT a.unit_id, a.dow, a."column", a.v AS left_value, b.v AS right_value
+        FROM long a JOIN long b USING (unit_id, dow, "column") CROSS JOIN w
+        WHERE a.week_idx = coming - 1 AND b.week_idx = coming AND abs(a.v - b.v) > 1e-9""",
     "threshold_ladder": f"""WITH {split_sql()}, {THRESHOLD_SQL}
         SELECT rung_order, rung, CASE WHEN rung <> 'por_dia' THEN round(low, 6) END AS low,
                CASE WHEN rung <> 'por_dia' THEN round(high, 6) END AS high,
                {_round_sql(("share_low", "share_medium", "share_high"))},
+               CASE WHEN rung <> 'por_dia' THEN round(mass_low_pct, 6) END AS mass_low_pct,
                CASE WHEN rung <> 'por_dia' THEN round(mass_high_pct, 6) END AS mass_high_pct,
                CASE WHEN rung = 'por_dia' THEN CAST(collapsed AS INTEGER) END AS collapsed_days, viable,
                rung <> 'discreto' AS matches_percentiles, share_high > share_medium AS high_exceeds_medium

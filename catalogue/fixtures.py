@@ -138,7 +138,7 @@ cuts AS (SELECT 0 AS rung_order, 'global' AS rung, dow, low, high FROM cuts_g, (
 shares AS (SELECT rung_order, rung, avg(CAST(n <= low AS INTEGER)) AS share_low,
                   avg(CAST(n > low AND n <= high AS INTEGER)) AS share_medium,
                   avg(CAST(n > low AND n > high AS INTEGER)) AS share_high,
-                  100 * avg(CAST(n <= high AS INTEGER)) AS mass_high_pct
+                  100 * avg(CAST(n <= low AS INTEGER)) AS mass_low_pct, 100 * avg(CAST(n <= high AS INTEGER)) AS mass_high_pct
            FROM tr JOIN cuts USING (dow) GROUP BY 1, 2),
 ladder AS (SELECT s.*, c.low, c.high, c.collapsed,
                   least(share_low, share_medium, share_high) >= 0.001

@@ -177,6 +177,44 @@ def profile_numbers(spark, sf_dir):
     return found.withColumns({c: r6(F.col(c)) for c in ("null_pct", "zero_pct")})
 
 
+def profile_folder(spark, sf_dir):
+    """Every column of a folder of three dialects, by the folder a file lies in."""
+    root = fresh_path(spark, "csv")
+    write_incident_files(spark, sf_dir, root)
+    status = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*)/[^/]*$", 1)
+    found = csv_files.profile_folder(spark, root, status)
+    top = F.transform("top", lambda t: F.concat_ws(":", t["value"], t["rows"].cast("string")))
+    return found.withColumns({"null_pct": r6(F.col("null_pct")), "sample": F.concat_ws(";", "sample"), "top": F.array_join(top, ";")})
+
+
+def _profile_sql():
+    plain = ("Fecha", "provincia", "Canton", "Cod_Parroquia", "Parroquia", "Servicio", "Subtipo")
+    other = ("FECHA INCIDENTE", "DPA PROVINCIA", "Cantón", "COD PARR", "Nombre Parroquia", "Tipo", "Detalle")
+    values = ("day(d) || '/' || month(d) || '/' || year(d)", "replace(upper(r_name[1]) || lower(r_name[2:]), ' east', ' East')", "n_name", "c_nationkey || '.0'",
+              "'Parroquia, n° ' || c_nationkey", "service", "o_orderpriority")
+    cells = " UNION ALL ".join(
+        f"SELECT o_orderstatus AS source, CASE o_orderstatus WHEN 'P' THEN '{b}' ELSE '{a}' END AS col, {v} AS v FROM inc"
+        for a, b, v in zip(plain, other, values)
+    )
+    ranked = "col IN ('Canton', 'Cantón', 'Servicio', 'Subtipo', 'Tipo', 'FECHA INCIDENTE')"
+    return f"""WITH inc AS (SELECT *, CAST(o_orderdate AS DATE) AS d,
+            CASE o_orderpriority WHEN '1-URGENT' THEN 'Tránsito y Movilidad' WHEN '2-HIGH' THEN 'TRANSITO  y movilidad'
+                 ELSE 'Gestión Sanitaria' END AS service
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+        counts AS (SELECT source, col, v, count(*) AS n FROM ({cells}) GROUP BY 1, 2, 3),
+        smp AS (SELECT *, row_number() OVER (PARTITION BY source, col ORDER BY md5(v), v) AS nth FROM counts),
+        nrm AS (SELECT source, col, trim(regexp_replace(upper(strip_accents(v)), '\\s+', ' ', 'g')) AS v, sum(n) AS n
+                FROM counts WHERE {ranked} GROUP BY 1, 2, 3),
+        top AS (SELECT source, col, string_agg(v || ':' || n, ';' ORDER BY n DESC, v) AS top FROM (
+                SELECT *, row_number() OVER (PARTITION BY source, col ORDER BY n DESC, v) AS nth FROM nrm) WHERE nth <= 12 GROUP BY 1, 2)
+        SELECT source, CASE source WHEN 'O' THEN ';' WHEN 'F' THEN ',' ELSE '|' END AS separator,
+               CASE source WHEN 'F' THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, col AS "column",
+               CAST(sum(n) AS BIGINT) AS "rows", CAST(0 AS DOUBLE) AS null_pct, count(*) AS distinct_values,
+               string_agg(v, ';' ORDER BY nth) FILTER (nth <= 3) AS sample,
+               CAST(NULL AS DOUBLE) AS "min", CAST(NULL AS DOUBLE) AS "max", CAST(NULL AS DOUBLE) AS zero_pct, max(top) AS top
+        FROM smp LEFT JOIN top USING (source, col) GROUP BY source, col"""
+
+
 # --- batches against the history --------------------------------------------------
 
 HISTORY_END = "2000-06-30"
@@ -326,6 +364,7 @@ QUERIES = {
     "profile_top_values": profile_top_values,
     "profile_top_areas": profile_top_areas,
     "profile_numbers": profile_numbers,
+    "profile_folder": profile_folder,
     "batch_verdict": batch_verdict,
     "month_overlap": month_overlap,
     "unknown_units": unknown_units,
@@ -408,6 +447,7 @@ ORACLES = {
             CAST(max(user_id) FILTER (event_id % 11 <> 0) AS DOUBLE) AS "max",
             round(100 * avg(CAST(event_id % 11 = 0 AS INTEGER)), 6) AS null_pct,
             round(100 * avg(CAST(event_id % 11 <> 0 AND user_id = 0 AS INTEGER)), 6) AS zero_pct FROM events""",
+    "profile_folder": _profile_sql(),
     "batch_verdict": f"WITH {ORDER_CTE} " + " UNION ALL ".join(f"({_verdict_sql(*s)})" for s in SCENARIOS),
     "month_overlap": f"""WITH {ORDER_CTE} SELECT strftime(d, '%Y-%m') AS month,
             strftime(d, '%Y-%m') IN (SELECT strftime(d, '%Y-%m') FROM oe WHERE d <= DATE '{HISTORY_END}') AS loaded

@@ -16,6 +16,10 @@ from .fixtures import LATE_EVENTS_SQL, TRAIN_END, VAL_END, label_sql, labelled_p
 
 KEYS = ("unit_id", "dow", "week_idx")
 MODELS = ("persistence", "mode", "majority")
+SCORES = ("accuracy", "f1_macro", "f1_low", "f1_medium", "f1_high", "recall_high", "precision_high")
+PROBABILITY_SCORES = ("brier", "auc_low", "auc_medium", "auc_high")
+CLASS_SCORES = ("precision_low", "precision_medium", "recall_low", "recall_medium")
+MATRIX = tuple(f"m{i}{j}" for i in range(3) for j in range(3))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -26,12 +30,15 @@ def _test(df: DataFrame) -> DataFrame:
     return df.filter((F.col("split") == "test") & F.col("eligible"))
 
 
+def _baselines(labelled: DataFrame) -> DataFrame:
+    for name, baseline in zip(MODELS, (baselines.persistence, baselines.historical_mode, baselines.majority)):
+        labelled = baseline(labelled).withColumnRenamed("pred", name)
+    return _test(labelled).unpivot([*KEYS, "label"], list(MODELS), "model", "pred")
+
+
 def baseline_rows(spark, sf_dir) -> DataFrame:
     """Test rows under each baseline: ``(unit_id, dow, week_idx, model, label, pred)``."""
-    rows = materialise(labelled_panel(spark, sf_dir), "labelled")
-    for name, baseline in zip(MODELS, (baselines.persistence, baselines.historical_mode, baselines.majority)):
-        rows = baseline(rows).withColumnRenamed("pred", name)
-    return _test(rows).unpivot([*KEYS, "label"], list(MODELS), "model", "pred")
+    return _baselines(materialise(labelled_panel(spark, sf_dir), "labelled"))
 
 
 def _baseline(name):
@@ -55,17 +62,22 @@ def with_shares(labelled: DataFrame) -> DataFrame:
     return labelled.withColumns(shares)
 
 
+def _shares(labelled: DataFrame) -> DataFrame:
+    return _test(with_shares(labelled)).withColumn("pred", metrics.argmax())
+
+
 def scored_rows(spark, sf_dir) -> DataFrame:
-    rows = _test(with_shares(labelled_panel(spark, sf_dir)))
-    return rows.withColumn("pred", metrics.argmax())
+    return _shares(labelled_panel(spark, sf_dir))
 
 
 def model_comparison(spark, sf_dir):
-    report = metrics.macro_report(baseline_rows(spark, sf_dir), ["model"])
-    shares = metrics.macro_report(scored_rows(spark, sf_dir).withColumn("model", F.lit("shares")), ["model"])
-    both = report.unionByName(shares)
-    scores = ("accuracy", "f1_macro", "f1_low", "f1_medium", "f1_high", "recall_high", "precision_high")
-    return _rounded(both, *scores).orderBy(F.desc("f1_macro"), "model")
+    """The baselines and the class shares side by side; Brier and AUC only where there are probabilities."""
+    labelled = materialise(labelled_panel(spark, sf_dir), "labelled")
+    columns = ["model", "label", "pred", *metrics.PROBABILITIES]
+    shares = _shares(labelled).withColumn("model", F.lit("shares")).select(*columns)
+    both = _baselines(labelled).unionByName(shares, allowMissingColumns=True).select(*columns)
+    report = metrics.full_report(both, ["model"]).select("model", "n", *SCORES, *PROBABILITY_SCORES)
+    return _rounded(report, *SCORES, *PROBABILITY_SCORES).orderBy(F.desc("f1_macro"), "model")
 
 
 def nation_catalogue(spark, sf_dir):
@@ -133,9 +145,7 @@ QUERIES = {
         metrics.calibration(scored_rows(spark, sf)), "confidence", "hit_rate"
     ),
     "full_report": lambda spark, sf: _rounded(
-        metrics.full_report(materialise(scored_rows(spark, sf), "scored")),
-        "accuracy", "f1_macro", "f1_low", "f1_medium", "f1_high", "recall_high", "precision_high",
-        "brier", "auc_low", "auc_medium", "auc_high",
+        metrics.full_report(scored_rows(spark, sf)), *SCORES, *CLASS_SCORES, *PROBABILITY_SCORES
     ),
     "risk_matrix": lambda spark, sf: _rounded(risk_matrix(spark, sf), *PROBS),
     "risk_pivot": risk_pivot,
@@ -199,8 +209,6 @@ def _round_sql(*columns):
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 
 
-SCORES = ("accuracy", "f1_macro", "f1_low", "f1_medium", "f1_high", "recall_high", "precision_high")
-
 AUC_SQL = """
 one AS (SELECT *, 'all' AS every FROM scored),
 lngp AS (SELECT {group} AS grp, CAST(k AS INTEGER) AS class, CAST(label = k AS INTEGER) AS hit,
@@ -248,9 +256,13 @@ ORACLES = {
     "macro_report": f"""WITH {SCORED_SQL}, one AS (SELECT *, 1 AS g FROM scored), {_class_sql("one", "g")}
         SELECT n, {_round_sql(*SCORES)} FROM rep""",
     "model_comparison": f"""WITH {BASELINE_SQL}, {SHARES_SQL},
-        every AS (SELECT model, label, pred FROM sc
-                  UNION ALL SELECT 'shares', label, pred FROM shp WHERE split = 'test' AND eligible),
-        {_class_sql("every", "model")} SELECT model, n, {_round_sql(*SCORES)} FROM rep""",
+        scored AS (SELECT * FROM shp WHERE split = 'test' AND eligible), {AUC_SQL.format(group='every')},
+        every AS (SELECT model, label, pred FROM sc UNION ALL SELECT 'shares', label, pred FROM scored),
+        {_class_sql("every", "model")},
+        prob AS (SELECT 'shares' AS model, (SELECT round({BRIER_SQL}, 6) FROM scored) AS brier,
+                        {", ".join(f"max(round(auc, 6)) FILTER (class = {k}) AS auc_{n}" for k, n in enumerate(("low", "medium", "high")))}
+                 FROM auc)
+        SELECT model, n, {_round_sql(*SCORES)}, brier, auc_low, auc_medium, auc_high FROM rep LEFT JOIN prob USING (model)""",
     "metrics_by_unit": f"""WITH {SCORED_SQL}, {_class_sql("scored", "unit_id")}
         SELECT unit_id, n, {_round_sql("accuracy", "f1_macro", "recall_high", "precision_high")},
                classes_present, dist_low_medium_high FROM rep""",
@@ -267,6 +279,8 @@ ORACLES = {
         FROM bn GROUP BY bin""",
     "full_report": f"""WITH {SCORED_SQL}, {AUC_SQL.format(group='every')}, {_class_sql("one", "every")}
         SELECT n, {_round_sql(*SCORES)}, (SELECT round({BRIER_SQL}, 6) FROM scored) AS brier,
+               {", ".join(f"(SELECT round({f}, 6) FROM prf WHERE label = {k}) AS {f}_{n}" for f in ("precision", "recall") for k, n in ((0, "low"), (1, "medium")))},
+               {", ".join(f"(SELECT count(*) FILTER (label = {i} AND pred = {j}) FROM scored) AS m{i}{j}" for i in range(3) for j in range(3))},
                (SELECT round(auc, 6) FROM auc WHERE class = 0) AS auc_low,
                (SELECT round(auc, 6) FROM auc WHERE class = 1) AS auc_medium,
                (SELECT round(auc, 6) FROM auc WHERE class = 2) AS auc_high FROM rep""",

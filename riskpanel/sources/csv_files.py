@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import fold
+from ..functions.text import fold, normalise
+from ..operators import profile
 from ..operators.cleaning import Scope
 from ..session import materialise
 
@@ -125,6 +126,11 @@ def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) ->
     Lines with too many fields are dropped, short ones are padded with NULL. Files with
     a quoted field over several lines are read whole, one task each; the others are split.
     """
+    kept = _dialect_rows(spark, dialect, paths)
+    return kept.select(*[f"c{i}" for i in range(len(dialect.header))], F.col("_metadata.file_name").alias("archivo"))
+
+
+def _dialect_rows(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) -> DataFrame:
     width = len(dialect.header)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     schema.add(_CORRUPT, T.StringType())
@@ -147,8 +153,7 @@ def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) ->
     # refuses to read the corrupt record alone where a caller counts the rows
     allowed = F.when(F.length("c0") < 0, 0).otherwise(width)
     too_long = F.coalesce(fields > allowed, F.lit(False))
-    kept = rows.filter(~too_long)
-    return kept.select(*[f"c{i}" for i in range(width)], F.col("_metadata.file_name").alias("archivo"))
+    return rows.filter(~too_long)
 
 
 def resolve_columns(header: Sequence[str]) -> dict[str, int]:
@@ -237,3 +242,44 @@ def read_sample(spark: SparkSession, path: str, rows: int | None = None) -> tupl
     table = table if rows is None else table.limit(rows)
     named = [_present(F.col(f"c{i}")).alias(name) for i, name in enumerate(dialect.header)]
     return table.select(*named), dialect
+
+
+def folder_values(spark: SparkSession, paths: str | Sequence[str], source: Column | None = None) -> tuple[DataFrame, Listing]:
+    """Every cell of every readable file, of however many dialects: (source, separator, encoding, column, value).
+
+    ``source`` names where a row comes from, by ``_metadata``; the file name if not given.
+    """
+    listing = list_files(spark, paths, PROFILE_MIN_COLUMNS)
+    if not listing.readable:
+        raise ValueError(f"no file below {paths} can be read")
+    name = F.col("_metadata.file_name") if source is None else source
+    parts = []
+    for dialect, files in listing.readable.items():
+        cells = [
+            F.struct(F.lit(h).alias("column"), _present(F.col(f"c{i}")).alias("value")) for i, h in enumerate(dialect.header)
+        ]
+        rows = _dialect_rows(spark, dialect, files).select(name.alias("source"), F.explode(F.array(*cells)).alias("cell"))
+        parts.append(rows.select("source", F.lit(dialect.separator).alias("separator"), F.lit(dialect.encoding).alias("encoding"), "cell.*"))
+    return reduce(DataFrame.unionByName, parts), listing
+
+
+def profile_folder(spark: SparkSession, paths: str | Sequence[str], source: Column | None = None, sample_size: int = 3, top: int = 12) -> DataFrame:
+    """What every column of every file holds, in one job over all dialects.
+
+    (source, separator, encoding, column, rows, null_pct, distinct_values, sample, min, max,
+    zero_pct, top): ``min``, ``max`` and ``zero_pct`` only for columns whose name looks like a
+    coordinate, ``top`` (value, rows) only for those that look like a category or an area.
+    """
+    values, _ = folder_values(spark, paths, source)
+    keys = ["source", "separator", "encoding", "column"]
+    counts = materialise(profile.value_counts(values, keys), "value-counts")
+    upper = normalise(F.col("column"))
+    like = lambda words: reduce(lambda a, b: a | b, [F.contains(upper, F.lit(w)) for w in words])
+    columns = profile.column_profile(counts, keys, sample_size)
+    ranged = like(profile.COORDINATE_WORDS)
+    columns = columns.withColumns({c: F.when(ranged, F.col(c)) for c in ("min", "max", "zero_pct")})
+    named = counts.filter(like((*profile.CATEGORY_WORDS, *profile.AREA_WORDS)))
+    most = profile.frequent_values(named, keys, top)
+    most = most.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("nth", "value", "rows"))).alias("top"))  # at most top values
+    listed = F.transform("top", lambda t: F.struct(t["value"].alias("value"), t["rows"].alias("rows")))
+    return columns.join(most, keys, "left").withColumn("top", listed)
