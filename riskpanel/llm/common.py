@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskpanel.session import ship  # noqa: F401  (the operators import it from here)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -37,19 +35,3 @@ def local_rows(spark: SparkSession, columns: dict[str, list], types: dict[str, s
         return spark.range(0).select(*[F.lit(None).cast(types[c]).alias(c) for c in columns])
     rows = [F.struct(*[F.lit(columns[c][i]).cast(types[c]).alias(c) for c in columns]) for i in range(size)]
     return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for the operators that run Python there."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    with tempfile.NamedTemporaryFile(prefix="riskpanel-", suffix=".zip", delete=False) as f, zipfile.ZipFile(f, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    context.addPyFile(f.name)
-    _SHIPPED.add(context.applicationId)
