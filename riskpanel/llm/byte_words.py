@@ -19,17 +19,6 @@ _BYTES_AT_ONCE = 1 << 17
 _MOST_BITS = 1 << 28
 _BITMAP = 1 << 15  # bits in one of Spark's bitmaps
 _POWERS = {"n": 0}
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-WORD, GAP, BREAK = 0, 1, 2
-
-
-def kinds(gaps: bytes, breaks: bytes = b"") -> np.ndarray:
-    """What each byte is: part of a word, a gap between words, or a break that no phrase crosses."""
-    table = np.zeros(256, np.uint8)
-    table[list(gaps)], table[list(breaks)] = GAP, BREAK
-    return table
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -72,30 +61,46 @@ def _spread(start: np.ndarray, size: np.ndarray, places: np.ndarray) -> np.ndarr
     return np.repeat(start - places[:-1], size) + np.arange(places[-1])
 
 
+class Alphabet:
+    """What each byte is: part of a word, a gap between words, or a break that no phrase crosses."""
+
+    def __init__(self, gaps: bytes, breaks: bytes = b""):
+        self.inside, self.breaks = np.ones(256, bool), np.zeros(256, bool)
+        self.inside[list(gaps + breaks)] = False
+        self.breaks[list(breaks)] = True
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
+        #: A-Z lower-cased, a space for all that is outside words
+        self.lowered = np.where(self.inside, lower, 32).astype(np.uint8)
+
+
 class Words:
     """The words of some texts: A-Z lower-cased, in ``data`` with one space behind each word that has a gap behind it."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray):
-        lowered = _LOWER[data]
-        kind = kinds[data]
-        inside = kind == WORD
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, alphabet: Alphabet):
+        inside = alphabet.inside[data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
         filled = bounds[:-1] < bounds[1:]  # words end with their text
         opening, closing = bounds[:-1][filled], bounds[1:][filled] - 1
         first[opening], last[closing] = inside[opening], inside[closing]
-        start, end = np.flatnonzero(first), np.flatnonzero(last)
+        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
         #: number of each word's text
-        self.text = np.searchsorted(bounds, start, side="right") - 1
+        self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(start, bounds)))
         #: equal for words of one text without a break between them
-        self.piece = np.cumsum(kind == BREAK)[start] + self.text
+        self.piece = self.text
+        if alphabet.breaks.any():
+            self.piece = self.text + np.searchsorted(np.flatnonzero(alphabet.breaks[data]), start)
         keep = inside.copy()
         keep[1:] |= inside[:-1]
-        place = np.cumsum(keep) - 1
-        lowered[~inside] = 32
-        self.data = lowered[keep]
-        self.start, self.end = place[start], place[end] + 1
+        self.data = alphabet.lowered[data[keep]]
+        spaced = np.zeros(len(start), bool)
+        spaced[:] = end < len(data)
+        spaced[spaced] = ~inside[end[spaced]]
+        size = end - start
+        self.end = np.cumsum(size + spaced) - spaced
+        self.start = self.end - size
         up, self._down = _powers(len(self.data) + 1)
         self._sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self._sums[1:])
@@ -105,13 +110,24 @@ class Words:
         return mixed((self._sums[end] - self._sums[start]) * self._down[start])
 
     def identities(self) -> np.ndarray:
-        """A number per word that is equal for words of equal bytes only.
+        """For each word the number of a word of the same bytes, one for all of them.
 
-        The words of one hash are compared with the first of them, byte by byte.
+        The words of one hash are compared with one of them, byte by byte; a word that has a
+        hash in common with another one stands for itself.
         """
-        hashed = self.hashes(self.start, self.end)
-        _, pointer, number = np.unique(hashed, return_index=True, return_inverse=True)
-        return np.where(same_bytes(self.data, self.start, self.end, pointer[number]), number, -1 - np.arange(len(hashed)))
+        other = one_of_equal(self.hashes(self.start, self.end))
+        return np.where(same_bytes(self.data, self.start, self.end, other), other, np.arange(len(other)))
+
+
+def one_of_equal(keys: np.ndarray) -> np.ndarray:
+    """For each key the place of an equal one, the same for all of them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    out = np.empty(len(keys), np.int64)
+    out[order] = order[fresh][np.cumsum(fresh) - 1]
+    return out
 
 
 def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -127,26 +143,39 @@ def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.n
     return same
 
 
-def chunks(batches, kinds: np.ndarray, size: int = _BYTES_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Whole texts of about ``size`` bytes at a time: their rows and their words; the text is column ``text``."""
+def slices(batches, size: int = _BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, about ``size`` bytes of column ``text`` at a time, but whole texts."""
     for batch in batches:
-        data, bounds = batch_bytes(batch.column("text"))
+        _, bounds = batch_bytes(batch.column("text"))
         first = 0
         while first < batch.num_rows:
             last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, side="right")) - 1)
-            low = bounds[first]
-            yield batch.slice(first, last - first), Words(data[low : bounds[last]], bounds[first : last + 1] - low, kinds)
+            yield batch.slice(first, last - first)
             first = last
 
 
+def chunks(batches, alphabet: Alphabet, size: int = _BYTES_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Whole texts of about ``size`` bytes at a time: their rows and their words; the text is column ``text``."""
+    for rows in slices(batches, size):
+        data, bounds = batch_bytes(rows.column("text"))
+        yield rows, Words(data[bounds[0] : bounds[-1]], bounds - bounds[0], alphabet)
+
+
+def _sums(into: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    np.add.at(out, into, counts)
+    return out
+
+
 class Tally:
     """Counts of strings, gathered under 64-bit keys.
 
     Strings are merged only if they have the same key, the same group and the same bytes, so
-    that a collision of keys leaves several rows of right counts.
+    that a collision of keys leaves several rows of right counts. ``most`` rows are merged at
+    a time, and given away if half of them stay.
     """
 
-    def __init__(self, counts: int, most: int = 1 << 20):
+    def __init__(self, counts: int, most: int = 1 << 19):
         self.counts, self.most = counts, most
         self._parts, self._rows = [], 0
 
@@ -155,7 +184,7 @@ class Tally:
         size = end - start
         places = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=places[1:])
-        self._parts.append((key, group, counts, size, data[_spread(start, size, places)]))
+        self._parts.append((key, group.astype(np.int32), counts.astype(np.int64), size.astype(np.int32), data[_spread(start, size, places)]))
         self._rows += len(key)
         if self._rows >= self.most:
             self._merge()
@@ -167,15 +196,15 @@ class Tally:
             return
         key, group, size, data = (np.concatenate([p[i] for p in self._parts]) for i in (0, 1, 3, 4))
         counts = np.concatenate([p[2] for p in self._parts], axis=1)
-        end = np.cumsum(size)
-        _, pointer, number = np.unique(key, return_index=True, return_inverse=True)
-        other = pointer[number]
+        self._parts = []
+        end = np.cumsum(size, dtype=np.int64)
+        other = one_of_equal(key)
         same = same_bytes(data, end - size, end, other) & (group == group[other])
         fresh = np.flatnonzero(~same | (other == np.arange(len(key))))
         place = np.zeros(len(key), np.int64)
         place[fresh] = np.arange(len(fresh))
         into = np.where(same, place[other], place)
-        summed = np.stack([np.bincount(into, c, len(fresh)).astype(np.int64) for c in counts])
+        summed = np.stack([_sums(into, c, len(fresh)) for c in counts])
         places = np.zeros(len(fresh) + 1, np.int64)
         np.cumsum(size[fresh], out=places[1:])
         kept = data[_spread((end - size)[fresh], size[fresh], places)]
@@ -189,14 +218,14 @@ class Tally:
             return pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.string()), *[pa.array([], pa.int64())] * self.counts], names)
         _, group, counts, size, data = self._parts[0]
         self._parts, self._rows = [], 0
-        end = np.cumsum(size)
-        return pa.RecordBatch.from_arrays([pa.array(group.astype(np.int32)), string_array(data, end - size, end), *[pa.array(c) for c in counts]], names)
+        end = np.cumsum(size, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(group), string_array(data, end - size, end), *[pa.array(c) for c in counts]], names)
 
 
 class Fingerprints:
     """Counts of fingerprints, many at a time."""
 
-    def __init__(self, most: int = 1 << 22):
+    def __init__(self, most: int = 1 << 21):
         self.most, self._parts, self._rows = most, [], 0
 
     def add(self, found: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -16,22 +16,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskpanel.llm.byte_words import WORD, Filter, Fingerprints, Tally, Words, chunks, filter_of, kinds, mixed, seeds
+from riskpanel.llm.byte_words import Alphabet, Filter, Fingerprints, Tally, Words, chunks, filter_of, mixed, seeds
 from riskpanel.llm.common import ship, text_of
 from riskpanel.session import materialise
 
-_KINDS = kinds(gaps=bytes(range(128)))
-_KINDS[65:91] = _KINDS[97:123] = WORD
+_WORDS = Alphabet(gaps=bytes(b for b in range(128) if not chr(b).isalpha()))
 _LEVEL_STEP = 0xA24BAED4963EE407
 _CELLS_AT_ONCE = 1 << 21
 
 
 def _prefixes(words: Words, seed: np.ndarray, length: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the prefixes of some words, and whether a prefix is the whole word."""
+    """Fingerprints of the prefixes of some words, odd if a prefix is the whole word, and whether it is."""
     start, end = words.start[at], words.end[at]
     whole = end - start <= length
     found = words.hashes(start, np.minimum(end, start + length)) ^ seed[words.text[at]]
-    return mixed(found + np.uint64((length << 1) * _LEVEL_STEP % (1 << 64)) + whole.astype(np.uint64)), whole
+    found = mixed(found + np.uint64(length * _LEVEL_STEP % (1 << 64)))
+    return (found & ~np.uint64(1)) | whole, whole
 
 
 def _open_words(words: Words, seed: np.ndarray, levels: list[tuple[int, Filter]]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +50,7 @@ def _level(texts: DataFrame, length: int, levels) -> DataFrame:
 
     def run(batches):
         out = Fingerprints()
-        for rows, words in chunks(batches, _KINDS):
+        for rows, words in chunks(batches, _WORDS):
             seed = seeds(rows.column("lang"))
             at, _ = _open_words(words, seed, levels.value)
             found, _ = _prefixes(words, seed, length, at)
@@ -79,21 +79,15 @@ def _cells(texts: DataFrame, levels) -> DataFrame:
             columns = [lang, source, found.column("string"), found.column("n0"), found.column("n1")]
             return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
-        for rows, words in chunks(batches, _KINDS):
+        for rows, words in chunks(batches, _WORDS):
             pairs = zip(rows.column("lang").to_pylist(), rows.column("source").to_pylist(), strict=True)
             group = np.array([names.setdefault(p, len(names)) for p in pairs], np.int64)
             seed = seeds(rows.column("lang"))
             _, at = _open_words(words, seed, levels.value)
-            at = np.sort(at)
-            identity, of = words.identities()[at], group[words.text[at]]
             # one row per document and term, then one per group and term
-            order = np.lexsort((identity, words.text[at]))
-            same = np.zeros(len(at), bool)
-            text = words.text[at]
-            same[1:] = (identity[order][1:] == identity[order][:-1]) & (text[order][1:] == text[order][:-1])
-            each = np.flatnonzero(~same)
-            n = np.diff(np.append(each, len(at)))
-            at, of = at[order[each]], of[order[each]]
+            total = max(1, len(words.start))
+            each, n = np.unique(words.text[at] * total + words.identities()[at], return_counts=True)
+            at, of = each % total, group[each // total]
             key = mixed(words.hashes(words.start[at], words.end[at]) + of.astype(np.uint64))
             yield from map(rows_of, tally.add(key, of, np.stack([n, np.ones_like(n)]), words.data, words.start[at], words.end[at]))
         yield rows_of(tally.take())
@@ -101,7 +95,7 @@ def _cells(texts: DataFrame, levels) -> DataFrame:
     return texts.mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
 
-def kept_terms(docs: DataFrame, min_docs: int = 30, first_length: int = 4) -> tuple[DataFrame, DataFrame]:
+def kept_terms(docs: DataFrame, min_docs: int = 30, first_length: int = 6) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n) of the terms in at least ``min_docs`` documents of their language, and all (lang, source)."""
     spark = docs.sparkSession
     ship(spark)
@@ -114,10 +108,10 @@ def kept_terms(docs: DataFrame, min_docs: int = 30, first_length: int = 4) -> tu
         counted = _level(texts.select("lang", "text"), length, spark.sparkContext.broadcast(levels))
         counted = counted.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("fp")
         counted = materialise(counted, "kept-prefixes")
-        rows = counted.count()
-        if not rows:
-            break
+        rows, whole = counted.agg(F.count("*"), F.coalesce(F.sum(F.col("fp").bitwiseAND(F.lit(1).cast("bigint"))), F.lit(0))).first()
         levels.append((length, filter_of(counted, rows)))
+        if rows == whole:  # no longer term is left
+            break
         length *= 2
     cells = _cells(texts, spark.sparkContext.broadcast(levels))
     cells = cells.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))

@@ -15,25 +15,28 @@ the shuffle, and the comparison of all occurrences reads the texts again anyway.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskpanel.llm.byte_words import Filter, Fingerprints, Tally, Words, chunks, filter_of, kinds, mixed, seeds
+from riskpanel.llm.byte_words import Alphabet, Filter, Fingerprints, Tally, Words, chunks, filter_of, mixed, one_of_equal, seeds
 from riskpanel.llm.common import ship, text_of
 from riskpanel.session import materialise
 
-_KINDS = kinds(gaps=b" \t", breaks=b".,;:!?\n\x0b\x0c\r")
+_WORDS = Alphabet(gaps=b" \t", breaks=b".,;:!?\n\x0b\x0c\r")
 _STEP = 0xD6E8FEB86659FD93
 
 
 def _runs(words: Words, seed: np.ndarray, size: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First words of the runs of ``size`` words within a piece, of those in question, and their fingerprints."""
+    """First words of the runs of ``size`` words within a piece, of those in question, and their fingerprints, odd for single words."""
     n = max(0, len(words.start) - size + 1)
     at = np.flatnonzero(among[:n] & (words.piece[size - 1 :] == words.piece[:n]) if n else np.zeros(0, bool))
     hashed = words.hashes(words.start[at], words.end[at + size - 1])
-    return at, mixed((hashed ^ seed[words.text[at]]) + np.uint64(size * _STEP % (1 << 64)))
+    found = mixed((hashed ^ seed[words.text[at]]) + np.uint64(size * _STEP % (1 << 64)))
+    return at, (found & ~np.uint64(1)) | np.uint64(size == 1)
 
 
 def _candidates(words: Words, seed: np.ndarray, sizes: tuple[int, ...], known: list[tuple[int, Filter]]):
@@ -52,17 +55,28 @@ def _candidates(words: Words, seed: np.ndarray, sizes: tuple[int, ...], known: l
         yield size, *_runs(words, seed, size, inside)
 
 
-def _counted(texts: DataFrame, sizes: tuple[int, ...], known) -> DataFrame:
-    """(fp, n): how often each fingerprint occurs, by task."""
+def _counted(texts: DataFrame, sizes: tuple[int, ...], known, with_parts: bool) -> DataFrame:
+    """(fp, n, part): how often each fingerprint occurs, by task; with parts also the single words within frequent runs."""
 
     def run(batches):
-        out = Fingerprints()
-        for rows, words in chunks(batches, _KINDS):
-            for _, _, found in _candidates(words, seeds(rows.column("lang")), sizes, known.value):
-                yield from out.add(found)
-        yield out.take()
-
-    return texts.mapInArrow(run, "fp long, n long")
+        out, parts = Fingerprints(), Fingerprints()
+        marked = lambda rows, part: rows.append_column("part", pa.array([part] * rows.num_rows, pa.bool_()))
+        for rows, words in chunks(batches, _WORDS):
+            seed = seeds(rows.column("lang"))
+            for _, _, found in _candidates(words, seed, sizes, known.value):
+                yield from (marked(b, False) for b in out.add(found))
+            if with_parts:
+                inside = np.zeros(len(words.start), bool)
+                for size, frequent in known.value:
+                    at, found = _runs(words, seed, size, np.ones(len(words.start), bool))
+                    at = at[frequent.has(found)]
+                    for i in range(size):
+                        inside[at + i] = True
+                yield from (marked(b, True) for b in parts.add(_runs(words, seed, 1, inside)[1]))
+        yield marked(out.take(), False)
+        yield marked(parts.take(), True)
+
+    return texts.mapInArrow(run, "fp long, n long, part boolean")
 
 
 def _materialised(texts: DataFrame, sizes: tuple[int, ...], known, frequent) -> DataFrame:
@@ -79,7 +93,7 @@ def _materialised(texts: DataFrame, sizes: tuple[int, ...], known, frequent) ->
             length = pa.array([k[1] for k in keys], pa.int32()).take(group)
             return pa.RecordBatch.from_arrays([lang, length, found.column("string"), found.column("n0")], ["lang", "words", "phrase", "n"])
 
-        for rows, words in chunks(batches, _KINDS):
+        for rows, words in chunks(batches, _WORDS):
             lang = rows.column("lang").dictionary_encode()
             langs = lang.dictionary.to_pylist()
             of = lang.indices.to_numpy(zero_copy_only=False)[words.text] if len(words.text) else np.zeros(0, np.int64)
@@ -91,13 +105,13 @@ def _materialised(texts: DataFrame, sizes: tuple[int, ...], known, frequent) ->
             for size, at, found in _candidates(words, seed, sizes, known.value):
                 kept = frequent.value.has(found)
                 at, found = at[kept], found[kept]
-                _, pointer, number = np.unique(found, return_index=True, return_inverse=True)
-                alike = np.ones(len(at), bool)
+                pointer = one_of_equal(found)
+                alike = of[at] == of[at[pointer]]
                 for i in range(size):
-                    alike &= same[at + i] == same[at[pointer[number]] + i]
-                alike &= of[at] == of[at[pointer[number]]]
-                shown = np.concatenate([pointer, np.flatnonzero(~alike)])
-                n = np.concatenate([np.bincount(number[alike], minlength=len(pointer)), np.ones((~alike).sum(), np.int64)])
+                    alike &= same[at + i] == same[at[pointer] + i]
+                n = np.bincount(pointer[alike], minlength=len(at)) + ~alike  # an unlike one counts for itself
+                shown = np.flatnonzero(n)
+                n = n[shown]
                 group = np.array([names.setdefault((x, size), len(names)) for x in langs])
                 start, end = words.start[at[shown]], words.end[at[shown] + size - 1]
                 yield from map(rows_of, tally.add(found[shown], group[of[at[shown]]], n[None, :], words.data, start, end))
@@ -109,20 +123,29 @@ def _materialised(texts: DataFrame, sizes: tuple[int, ...], known, frequent) ->
 def frequent_phrases(docs: DataFrame, longest: int, least: int) -> DataFrame:
     """(lang, words, phrase, n) of the runs of up to ``longest`` words that occur at least ``least`` times in their language.
 
-    A row of no words holds the number of all words of a language.
+    Of the single words those that stand in no such run may be missing. A row of no words
+    holds the number of all words of a language.
     """
     spark = docs.sparkSession
     ship(spark)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), text_of().alias("text"))
-    known, found = [], None
+    known, found, parts = [], [], None
     for first in range(1, longest + 1, 2):
         sizes = tuple(range(first, min(first + 1, longest) + 1))
-        counted = _counted(texts, sizes, spark.sparkContext.broadcast(known)).groupBy("fp").agg(F.sum("n").alias("n"))
-        often = materialise(counted.filter(F.col("n") >= least).select("fp"), "frequent-fingerprints")
-        found = often if found is None else found.unionByName(often)
+        counted = _counted(texts, sizes, spark.sparkContext.broadcast(known), with_parts=first == 3)
+        # a single word within a frequent run has been counted before; here it is only named
+        counted = counted.groupBy("fp", "part").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | F.col("part"))
+        often = materialise(counted.select("fp", "part"), "frequent-fingerprints")
+        found.append(often.filter(~F.col("part")).select("fp"))
+        parts = often.filter("part").select("fp") if first == 3 else parts
         if sizes[-1] < longest:
-            known = [*known, (sizes[-1], filter_of(often, often.count()))]
+            known = [*known, (sizes[-1], filter_of(found[-1], found[-1].count()))]
+    # of the single words only those that stand in a candidate are of use
+    single = F.col("fp").bitwiseAND(F.lit(1).cast("bigint")) == 1
+    if parts is not None:
+        found[0] = found[0].filter(~single).unionByName(found[0].filter(single).join(parts, "fp", "left_semi"))
+    found = reduce(DataFrame.unionByName, found)
     every = spark.sparkContext.broadcast(filter_of(found, found.count()))
     sizes = tuple(range(1, longest + 1))
     rows = _materialised(texts, sizes, spark.sparkContext.broadcast(known), every)

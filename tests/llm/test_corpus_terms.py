@@ -92,7 +92,7 @@ def test_colliding_fingerprints_change_nothing(spark, odd_rows, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
     real = byte_words.mixed
     monkeypatch.setattr(byte_words, "mixed", lambda x: real(x) & np.uint64(7))
-    (_, words), *_ = byte_words.chunks([batch], phrases._KINDS)
+    (_, words), *_ = byte_words.chunks([batch], phrases._WORDS)
     spelled = [bytes(words.data[s:e]) for s, e in zip(words.start, words.end, strict=True)]
     number = words.identities()
     assert len(set(number.tolist())) >= len(set(spelled))
