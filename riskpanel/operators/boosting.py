@@ -192,7 +192,7 @@ def fit_boosting(rows: DataFrame, features: Sequence[str], grid: Sequence[dict])
     done = [Trees.none(depth) for _, depth in runs]
     pending = [Trees.none(depth) for _, depth in runs]
     with temporary_tables(spark):
-        table = materialise(_coded(rows, features, edges, width), "boosting-rows").persist()
+        table = materialise(_coded(rows, features, edges, width), "boosting-rows")
         passes = Pass(table)
         for number in range(max(rounds.values())):
             grown = [Trees(*[np.zeros((CLASSES, 2**depth - 1), np.int16) for _ in "fc"], np.zeros((CLASSES, 2**depth))) for _, depth in runs]
@@ -216,13 +216,11 @@ def fit_boosting(rows: DataFrame, features: Sequence[str], grid: Sequence[dict])
             if (number + 1) % _ROUNDS_AT_ONCE == 0 or number + 1 == max(rounds.values()):
                 done = [a.plus(b) for a, b in zip(done, pending, strict=True)]
                 if number + 1 < max(rounds.values()):
-                    following = materialise(_advanced(table, pending, width, d), "boosting-rows").persist()
-                    passes = Pass(following)
-                    following.count()
-                    table.unpersist()
-                    table = following
+                    table = materialise(_advanced(table, pending, width, d), "boosting-rows")
+                    passes.release()
+                    passes = Pass(table)
                 pending = [Trees.none(depth) for _, depth in runs]
-        table.unpersist()
+        passes.release()
     of_run = {run: done[i] for i, run in enumerate(runs)}
     return [
         BoostedModel(tuple(features), edges, start, of_run[c["rate"], c["depth"]][: CLASSES * c["iterations"]]) for c in grid

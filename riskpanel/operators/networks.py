@@ -218,4 +218,5 @@ def fit_networks(
         sent.unpersist()
         for i, part in zip(active, sums, strict=True):
             runs[i].take(float(part[0]), part[1:])
+    passes.release()
     return [NetworkModel(tuple(features), mean, scale, tuple(shape), r.x, r.iterations) for shape, r in zip(layers, runs, strict=True)]

@@ -8,11 +8,11 @@ of them however many partitions there are.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,38 +35,48 @@ def matrix(column: pa.Array, width: int, kind=np.float64) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(-1, width)
 
 
+def _block(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 class Pass:
-    """A table that is read once per call; ``parts`` is its number of partitions."""
+    """A table that is read once per call of ``total``.
+
+    The rows are kept as Arrow blocks of an RDD: a fit calls hundreds of passes over the same
+    rows, and planning a query anew for each would take longer than most passes do. Lost
+    blocks are made again from the table, which is best a written one.
+    """
 
     def __init__(self, rows: DataFrame):
         ship(rows.sparkSession)
-        self.rows = rows
-        self.parts = rows.rdd.getNumPartitions()
 
-    def total(self, of: Callable[[pa.RecordBatch], np.ndarray | None], size: int) -> np.ndarray:
-        """The sum of ``of`` over all batches of rows, a vector of ``size`` numbers."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    total += of(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+                    yield pa.RecordBatch.from_arrays([pa.array([_block(batch)], pa.binary())], ["block"])
 
-        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        self.blocks = rows.mapInArrow(blocks, "block binary").rdd.map(lambda row: bytes(row[0]))
+        self.blocks.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def total(self, of: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+        """The sum of ``of`` over all batches of rows, a vector of ``size`` numbers."""
+
+        def run(blocks: Iterator[bytes]) -> Iterator[np.ndarray]:
             total = np.zeros(size)
-            for batch in batches:
-                for part in batch.column("total").to_pylist():
-                    total += np.frombuffer(part)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
-
-        sums = self.rows.mapInArrow(run, "total binary")
-        if self.parts > PARTS_AT_ONCE:
-            sums = sums.repartition(math.isqrt(self.parts)).mapInArrow(merged, "total binary")
-        out = np.zeros(size)
-        for part in sums.toArrow().column("total").to_pylist():
-            out += np.frombuffer(part)
-        return out
+            for block in blocks:
+                total += of(pa.ipc.open_stream(block).read_next_batch())
+            yield total
+
+        sums = self.blocks.mapPartitions(run)
+        if self.blocks.getNumPartitions() > PARTS_AT_ONCE:
+            return sums.treeReduce(np.add, 2)
+        return sum(sums.collect(), np.zeros(size))
+
+    def release(self) -> None:
+        self.blocks.unpersist()
 
 
 def softmax(margins: np.ndarray) -> np.ndarray:
