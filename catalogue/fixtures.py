@@ -46,13 +46,14 @@ def region_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_daily(spark, sf_dir):
-    """Shipments per supplier nation; nation 3 only ships after training ended."""
+    """Shipments per supplier nation; those of nation 3 are nation 4's until training ended."""
     items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate")
     per_supplier = panel.daily_counts(items, "l_suppkey", "l_shipdate")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = per_supplier.join(suppliers, F.col("unit_id").cast("bigint") == F.col("s_suppkey"))
-    kept = (F.col("s_nationkey") != 3) | (F.col("event_date") >= F.lit("2000-06-01").cast("date"))
-    return materialise(panel.daily_counts(joined.filter(kept), "s_nationkey", "event_date", "n"), "daily")
+    early = (F.col("s_nationkey") == 3) & (F.col("event_date") < F.lit("2000-06-01").cast("date"))
+    unit = F.when(early, 4).otherwise(F.col("s_nationkey"))
+    return materialise(panel.daily_counts(joined, unit, "event_date", "n"), "daily")
 
 
 def nation_panel(spark: SparkSession, sf_dir: str, future_weeks: int = 0) -> DataFrame:
@@ -81,9 +82,9 @@ ev AS (SELECT CAST(c_nationkey AS VARCHAR) AS unit_id, CAST(o_orderdate AS DATE)
        FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 LATE_EVENTS_SQL = """
-ev AS (SELECT CAST(s_nationkey AS VARCHAR) AS unit_id, CAST(l_shipdate AS DATE) AS d
-       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-       WHERE s_nationkey <> 3 OR l_shipdate >= TIMESTAMP '2000-06-01')"""
+ev AS (SELECT CAST(CASE WHEN s_nationkey = 3 AND l_shipdate < TIMESTAMP '2000-06-01' THEN 4 ELSE s_nationkey END AS VARCHAR) AS unit_id,
+              CAST(l_shipdate AS DATE) AS d
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
 
 
 def panel_sql(events: str = EVENTS_SQL, future: int = 0) -> str:

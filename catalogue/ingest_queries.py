@@ -8,7 +8,7 @@ from riskpanel.functions.calendar import month_key
 from riskpanel.functions.text import normalise
 from riskpanel.operators import cleaning, panel, profile, state, validation
 from riskpanel.operators.cleaning import Scope
-from riskpanel.session import fresh_path
+from riskpanel.session import fresh_path, materialise
 from riskpanel.sources import csv_files, history
 
 from .fixtures import EVENTS_SQL, FEATURE_SQL, FEATURES, LEVEL, nation_daily, panel_sql, r6, split_sql, table
@@ -130,7 +130,7 @@ def csv_funnel(spark, sf_dir):
 def csv_panel(spark, sf_dir):
     """CSV files to dense panel in one go."""
     events = cleaning.clean_events(_ingested(spark, sf_dir), CSV_SCOPE)
-    return panel.dense_panel(panel.daily_counts(events, "unit_id", "event_date"))
+    return panel.dense_panel(materialise(panel.daily_counts(events, "unit_id", "event_date"), "daily"))
 
 
 def csv_skipped_files(spark, sf_dir):
@@ -266,9 +266,9 @@ def month_overlap(spark, sf_dir):
 
 
 def unknown_units(spark, sf_dir):
-    """Nations with orders but without a supplier."""
-    suppliers = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 9000)
-    units = suppliers.select(F.col("s_nationkey").cast("string").alias("unit_id")).distinct()
+    """Nations with orders whose suppliers' balances are below average on the whole."""
+    balance = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.avg("s_acctbal").alias("mean"))
+    units = balance.filter(F.col("mean") > 4500).select(F.col("s_nationkey").cast("string").alias("unit_id"))
     return validation.unknown_units(nation_daily(spark, sf_dir), units)
 
 
@@ -453,7 +453,7 @@ ORACLES = {
             strftime(d, '%Y-%m') IN (SELECT strftime(d, '%Y-%m') FROM oe WHERE d <= DATE '{HISTORY_END}') AS loaded
         FROM oe WHERE d BETWEEN DATE '2000-03-15' AND DATE '2000-10-15' GROUP BY 1""",
     "unknown_units": f"""WITH {EVENTS_SQL} SELECT DISTINCT unit_id FROM ev
-        WHERE unit_id NOT IN (SELECT CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_acctbal > 9000)""",
+        WHERE unit_id NOT IN (SELECT CAST(s_nationkey AS VARCHAR) FROM supplier GROUP BY s_nationkey HAVING avg(s_acctbal) > 4500)""",
     "history_append": f"""WITH {ORDER_CTE} SELECT strftime(d, '%Y-%m') AS month,
             CASE WHEN d <= DATE '{HISTORY_END}' THEN 'seed' ELSE 'later' END AS batch, count(*) AS n
         FROM oe GROUP BY 1, 2""",

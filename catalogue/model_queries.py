@@ -96,7 +96,7 @@ def family_selection(spark, sf_dir):
 
 
 def incremental_scoring(spark, sf_dir):
-    """Freeze a model on the history, then score the week after one more month."""
+    """Freeze a model on the history, then score the week after all that came later."""
     daily = nation_daily(spark, sf_dir)
     end = F.lit(HISTORY_END).cast("date")
     past = training.prepare(
@@ -111,8 +111,8 @@ def incremental_scoring(spark, sf_dir):
     events = _order_events(spark, sf_dir)
     store = fresh_path(spark, "history")
     history.write_batch(events.filter(F.col("event_date") <= end), store, "seed")
-    july = events.filter(F.col("event_date").between(F.lit("2000-07-01").cast("date"), F.lit("2000-07-31").cast("date")))
-    return incremental.score_batch(july, package, store, "2000-07", Date(2001, 1, 1)).matrix
+    later = events.filter(F.col("event_date") > end)
+    return incremental.score_batch(later, package, store, "later", Date(2100, 1, 1)).matrix
 
 
 QUERIES = {

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from riskpanel.functions import calendar
 from riskpanel.operators import panel, split
 
+from riskpanel.session import materialise
+
 from .fixtures import (
     EVENTS_SQL,
     HOLIDAY_SQL,
@@ -37,11 +39,11 @@ PANEL_COLUMNS = "unit_id, dow, week_idx, week_start, n"
 def lineitem_panel(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     daily = panel.daily_counts(items, F.concat("l_returnflag", "l_linestatus"), "l_shipdate")
-    return panel.dense_panel(daily)
+    return panel.dense_panel(materialise(daily, "daily"))
 
 
 def event_type_daily(spark, sf_dir):
-    return panel.daily_counts(table(spark, sf_dir, "events"), "event_type", "ts")
+    return materialise(panel.daily_counts(table(spark, sf_dir, "events"), "event_type", "ts"), "daily")
 
 
 def panel_meta(spark, sf_dir):
@@ -59,10 +61,11 @@ def panel_totals(spark, sf_dir):
 
 
 def empty_weeks(spark, sf_dir):
-    """Only three months of each year are kept, so that weeks without events exist."""
-    orders = table(spark, sf_dir, "orders").filter(F.month("o_orderdate").isin(2, 3, 7))
-    daily = panel.daily_counts(orders, "o_orderpriority", "o_orderdate")
-    return panel.empty_weeks(panel.dense_panel(daily))
+    """All orders of a quarter counted in its first month, so that weeks without events exist."""
+    day = F.to_date("o_orderdate")
+    first = F.make_date(F.year(day), F.quarter(day) * 3 - 2, F.least(F.dayofmonth(day), F.lit(28)))
+    daily = panel.daily_counts(table(spark, sf_dir, "orders"), "o_orderpriority", first)
+    return panel.empty_weeks(panel.dense_panel(materialise(daily, "daily")))
 
 
 def unit_share(spark, sf_dir):
@@ -207,8 +210,8 @@ ORACLES = {
     "panel_totals": f"""WITH {panel_sql()}
         SELECT CAST(sum(n) AS BIGINT) AS events, count(*) AS cells, round(avg(n), 6) AS mean_per_cell,
                round(100 * avg(CAST(n = 0 AS INTEGER)), 6) AS zero_pct FROM panel""",
-    "empty_weeks": """WITH ev AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
-                                  WHERE month(o_orderdate) IN (2, 3, 7)),
+    "empty_weeks": """WITH ev AS (SELECT make_date(year(o_orderdate), 3 * quarter(o_orderdate) - 2,
+                                                 least(day(o_orderdate), 28)) AS d FROM orders),
         b AS (SELECT CAST(date_trunc('week', min(d)) AS DATE) AS origin, max(d) AS last_date FROM ev),
         w AS (SELECT origin, CAST(unnest(range((date_diff('day', origin, last_date) + 1) // 7)) AS INTEGER)
                      AS week_idx FROM b)

@@ -1,7 +1,8 @@
 """Risk labels from count thresholds, chosen on a ladder of four rules.
 
-All rules are fitted on the histogram of training counts of eligible rows, a
-table of bounded size, so the panel is read once for the whole ladder.
+All rules are fitted on the histogram of training counts of eligible rows, so the panel
+is read once for the whole ladder. Percentiles and forced cuts are ranks in running totals
+over ranges of that histogram; no task holds all of it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .panel import cumulative_share
+from .ordering import exact_quantiles, running_total
 
 # The rules in the order they are tried, and what they are based on.
 RUNGS = ("global", "positivos", "por_dia", "discreto")
@@ -41,19 +42,18 @@ def _rung(name: str, low: Column, high: Column, days: tuple[Column, Column] | No
 
 def _percentile_rungs(histogram: DataFrame, p_low: float, p_high: float) -> DataFrame:
     """Percentile pairs over all counts, over positive counts, and per weekday."""
-    wanted = F.array(F.lit(p_low / 100.0), F.lit(p_high / 100.0))
-    positive = F.when(F.col("n") > 0, F.col("n"))
-    fitted = histogram.rollup("dow").agg(
-        F.percentile("n", wanted, F.col("cells")).alias("every"),
-        F.percentile(positive, wanted, F.col("cells")).alias("above_zero"),
-    )
-    overall = F.col("dow").isNull()
-    one_day = F.struct("dow", F.col("every")[0].alias("low"), F.col("every")[1].alias("high"))
+    every = histogram.select(F.lit(-2).alias("which"), "n", "cells")
+    positive = histogram.filter(F.col("n") > 0).select(F.lit(-1).alias("which"), "n", "cells")
+    days = histogram.select(F.col("dow").alias("which"), "n", "cells")
+    counts = every.unionByName(positive).unionByName(days).groupBy("which", "n").agg(F.sum("cells").alias("cells"))
+    fitted = exact_quantiles(counts, "n", "cells", [p_low / 100.0, p_high / 100.0], ["which"])  # at most nine rows
+    one_day = F.struct(F.col("which").alias("dow"), F.col("quantiles")[0].alias("low"), F.col("quantiles")[1].alias("high"))
+    of_day = F.col("which") >= 0
     row = fitted.agg(
-        F.max(F.when(overall, F.col("every"))).alias("every"),
-        F.max(F.when(overall, F.col("above_zero"))).alias("above_zero"),
-        F.collect_list(F.when(~overall, one_day)).alias("days"),
-        F.max("dow").alias("max_dow"),
+        F.max(F.when(F.col("which") == -2, F.col("quantiles"))).alias("every"),
+        F.max(F.when(F.col("which") == -1, F.col("quantiles"))).alias("above_zero"),
+        F.collect_list(F.when(of_day, one_day)).alias("days"),
+        F.max(F.when(of_day, F.col("which"))).alias("max_dow"),
     ).withColumn("cut", F.map_from_entries(F.transform("days", lambda d: F.struct(d["dow"], d))))
     week = F.sequence(F.lit(0), F.lit(6))
 
@@ -75,14 +75,15 @@ def _percentile_rungs(histogram: DataFrame, p_low: float, p_high: float) -> Data
 
 def _discrete_rung(histogram: DataFrame, p_low: float, p_high: float) -> DataFrame:
     """Forced distinct integer cuts on the empirical distribution."""
-    cdf = cumulative_share(histogram.groupBy("n").agg(F.sum("cells").alias("cells")))
-    steps = cdf.withColumn("next_n", F.lead("n").over(Window.partitionBy(F.lit(0)).orderBy("n")))
-    reaches_low = F.col("cumulative") >= p_low / 100.0
+    steps = running_total(histogram.groupBy("n").agg(F.sum("cells").alias("cells")), "n", ["cells"])
+    before, total = F.col("cells_before"), F.col("cells_total")
+    upto = before + F.col("cells")
     cuts = steps.agg(
-        F.min(F.when(reaches_low, F.col("n"))).alias("low"),
-        F.min(F.when(reaches_low, F.col("next_n"))).alias("after_low"),
-        F.min(F.when(F.col("cumulative") >= p_high / 100.0, F.col("n"))).alias("high"),
-        F.max(F.when(F.col("next_n").isNotNull(), F.col("n"))).alias("last_but_one"),
+        F.min(F.when(upto / total >= p_low / 100.0, F.col("n"))).alias("low"),
+        # the count after that one is the first that has so much below it
+        F.min(F.when(before / total >= p_low / 100.0, F.col("n"))).alias("after_low"),
+        F.min(F.when(upto / total >= p_high / 100.0, F.col("n"))).alias("high"),
+        F.max(F.when(upto < total, F.col("n"))).alias("last_but_one"),
         F.max("n").alias("last"),
         F.count("*").alias("distinct_counts"),
     )

@@ -188,6 +188,11 @@ def score(model: PipelineModel | ProbabilityModel, rows: DataFrame) -> DataFrame
     return scored.select(*rows.columns, *PROBABILITIES).withColumn("pred", argmax())
 
 
+def input_features(model: PipelineModel | ProbabilityModel) -> list[str]:
+    """The columns a fitted model reads, in its order."""
+    return list(model.features) if isinstance(model, ProbabilityModel) else list(model.stages[0].getInputCols())
+
+
 def macro_f1(scored: DataFrame) -> float:
     return float(macro_report(scored).first()["f1_macro"])
 

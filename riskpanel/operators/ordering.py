@@ -3,7 +3,7 @@
 Both start from rows that are already aggregated to distinct values, so a value
 shared by a third of the data is a single row. Rows are range-partitioned,
 written once, summed per range, and only the per-range sums (one row per range
-and group) are accumulated in a plain window.
+and group) are accumulated, as short arrays.
 """
 
 from __future__ import annotations
@@ -32,13 +32,20 @@ def running_total(
         "ranges",
     )
     sums = ranged.groupBy(*groups, "range_id").agg(*[F.sum(a).alias(f"{a}_sum") for a in amounts])
-    by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    earlier = by_group.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
+    listed = F.sort_array(F.collect_list(F.struct("range_id", *[f"{a}_sum" for a in amounts]))).alias("listed")
+    listed = sums.groupBy(*groups).agg(listed) if groups else sums.agg(listed)  # one entry per range
+
+    def added(values: Column, name: str) -> Column:
+        return F.aggregate(values, F.lit(0).cast(kinds[f"{name}_sum"]), lambda total, x: total + F.coalesce(x[f"{name}_sum"], F.lit(0)))
+
+    kinds = dict(sums.dtypes)
+    places = listed.select(*groups, "listed", F.posexplode("listed").alias("place", "range"))
+    earlier = F.slice("listed", F.lit(1), F.col("place"))
+    offsets = places.select(
         *groups,
-        "range_id",
-        *[F.coalesce(F.sum(f"{a}_sum").over(earlier), F.lit(0)).alias(f"{a}_offset") for a in amounts],
-        *[F.sum(f"{a}_sum").over(by_group).alias(f"{a}_total") for a in amounts],
+        F.col("range.range_id").alias("range_id"),
+        *[added(earlier, a).alias(f"{a}_offset") for a in amounts],
+        *[added(F.col("listed"), a).alias(f"{a}_total") for a in amounts],
     )
     within = (
         Window.partitionBy("range_id", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

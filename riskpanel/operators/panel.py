@@ -10,11 +10,13 @@ from dataclasses import dataclass
 from datetime import date as Date
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_key, week_start
 from ..functions.text import normalise
+from ..session import materialise
+from .ordering import running_total
 
 PANEL_KEYS = ("unit_id", "dow", "week_idx")
 
@@ -173,7 +175,7 @@ def top_units(panel: DataFrame, limit: int = 8) -> DataFrame:
 
 def unit_share(panel: DataFrame) -> DataFrame:
     """Share of all events per unit, and whether it reaches one percent."""
-    totals = unit_totals(panel)
+    totals = materialise(unit_totals(panel), "unit-totals")
     everything = totals.agg(F.sum("events").alias("all_events")).scalar()
     share = F.coalesce(F.try_divide(F.col("events").cast("double"), everything), F.lit(0.0))
     return totals.withColumn("share", share).withColumn("at_least_one_pct", F.col("share") >= 0.01)
@@ -198,12 +200,10 @@ def count_histogram(panel: DataFrame, *groups: str) -> DataFrame:
 
 
 def cumulative_share(histogram: DataFrame) -> DataFrame:
-    """Empirical distribution F(c <= n) over a count histogram (bounded, see there)."""
-    upto = Window.partitionBy(F.lit(0)).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy(F.lit(0))
-    return histogram.withColumn(
-        "cumulative", F.sum("cells").over(upto) / F.sum("cells").over(everything)
-    )
+    """Empirical distribution F(c <= n) over a count histogram ``(n, cells)``."""
+    ranked = running_total(histogram, "n", ["cells"])
+    share = (F.col("cells_before") + F.col("cells")) / F.col("cells_total")
+    return ranked.withColumn("cumulative", share).drop("cells_before", "cells_total")
 
 
 def count_cdf(panel: DataFrame, limit: int | None = 8) -> DataFrame:

@@ -47,6 +47,7 @@ def score_state(state: panel_state.PanelState, package: Package) -> tuple[Date,
     wide = split.apply_mask(panel_state.next_week_features(state, package.level), package.mask)
     keys = ("unit_id", "dow", "week_idx", "week_start", "eligible")
     features.check_feature_contract([c for c in wide.columns if c not in keys], package.features)
+    features.check_feature_contract(package.features, models.input_features(package.model))
     target = materialise(binning.apply_bins(wide, package.edges, package.features), "target-week")
     # only eligible cells pass through the model; the others keep NULL probabilities
     scored = models.score(package.model, target.filter("eligible"))

@@ -75,6 +75,7 @@ def prepare(
 
 def freeze(prepared: Prepared, fitted: models.Fitted, units: DataFrame) -> Package:
     """The package scoring runs from; ``units`` is the catalogue ``unit_id, name, area``."""
+    features.check_feature_contract(prepared.features, models.input_features(fitted.model))
     mask = prepared.matrix.select("unit_id", "dow", "eligible").distinct()
     return Package(
         model=fitted.model,
