@@ -181,7 +181,7 @@ def profile_folder(spark, sf_dir):
     """Every column of a folder of three dialects, by the folder a file lies in."""
     root = fresh_path(spark, "csv")
     write_incident_files(spark, sf_dir, root)
-    status = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*)/[^/]*$", 1)
+    status = F.regexp_extract("path", "/([^/]*)/[^/]*$", 1)
     found = csv_files.profile_folder(spark, root, status)
     top = F.transform("top", lambda t: F.concat_ws(":", t["value"], t["rows"].cast("string")))
     return found.withColumns({"null_pct": r6(F.col("null_pct")), "sample": F.concat_ws(";", "sample"), "top": F.array_join(top, ";")})

@@ -114,6 +114,8 @@ def temporary_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str],
         _SCOPE.reset(token)
         for path in own:
             delete_path(spark, path)
+        # Spark removes a shuffle's files once the driver has collected its plan: not in half an hour, but now
+        spark.sparkContext._jvm.System.gc()
 
 
 def ship(spark: SparkSession) -> None:

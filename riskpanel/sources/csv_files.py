@@ -1,23 +1,27 @@
 """Monthly incident CSVs with drifting separators, encodings and headers.
 
-One distributed pass over the text finds each file's header line, whether its
-bytes are valid UTF-8 and whether a quoted field goes over a line's end; files that
-share a dialect and a header are then read by one ``spark.read.csv``. Files are
+The text is scanned once: its lines are written with their file, block and number, and all
+else reads that table. One aggregate over it finds each file's header line, whether its bytes
+are valid UTF-8 and, for each separator, whether a quoted field goes over a line's end. In
+files where none does, every line is a record. In the others, each line either leaves a
+reader that is inside or outside of quotes where it is, or not; running that through a block
+and then through the blocks of a file tells which lines begin a record, and only the lines
+of longer records are joined. So a file of any size is read by many tasks, and files are
 never opened on the driver.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import fold, normalise
 from ..operators import profile
@@ -29,6 +33,8 @@ from ..session import materialise
 SEPARATORS = (";", ",", "|", "\t")
 MIN_COLUMNS = 5
 PROFILE_MIN_COLUMNS = 4
+#: Lines of one record; more are taken for a quote that is never closed.
+MAX_RECORD_LINES = 10_000
 ALIASES = {
     "fecha": ["FECHA", "FECHA INCIDENTE", "FECHA_INCIDENTE"],
     "provincia": ["PROVINCIA", "NOMBRE PROVINCIA", "DPA PROVINCIA"],
@@ -58,19 +64,34 @@ class Dialect:
 
 @dataclass(frozen=True)
 class Listing:
-    """Files by dialect, and the files no separator fits."""
+    """Files by dialect, the files no separator fits, and the lines of all of them."""
 
     readable: dict[Dialect, list[str]]
     unreadable: list[str]
+    lines: DataFrame  # value, path, archivo, block_start, line
+    headers: dict[str, int]  # number of each file's header line
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-    return reader.text(list(paths)).select(
+    # a block is read in order within one partition, so its lines are numbered in order
+    lines = reader.text(list(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("archivo"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    return materialise(lines, "csv-lines")
+
+
+def _patterns(separator: str) -> tuple[str, str]:
+    """Lines that end inside quotes, for a reader that begins outside of them, and for one that begins inside."""
+    sep = re.escape(separator)
+    quoted, plain = r'"(?:[^"]++|"")*+"', rf"(?!\")[^{sep}]*+"
+    # whole fields, what stands behind a closing quote being part of its field, then one left open
+    rest = rf'(?:(?:{quoted}[^{sep}]*+|{plain}){sep})*+"(?:[^"]++|"")*+$'
+    return f"^{rest}", rf'^(?:[^"]++|"")*+(?:$|"[^{sep}]*+{sep}{rest})'
 
 
 def _header_fields(line: str, min_columns: int) -> tuple[str, tuple[str, ...]] | None:
@@ -85,29 +106,28 @@ def _header_fields(line: str, min_columns: int) -> tuple[str, tuple[str, ...]] |
 def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int = MIN_COLUMNS) -> Listing:
     """Every ``*.csv`` below the paths with its dialect (one result row per file)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = _lines(spark, paths).withColumn("line_id", F.monotonically_increasing_id())
+    lines = _lines(spark, paths)
     first = (F.col("block_start") == 0) & (F.length(F.trim("value")) > 0)
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
-    odd_quotes = quotes % 2 == 1
-    # Fixed-width aggregates keep the whole-text pass a hash aggregate; the header
-    # texts are then fetched by line number. One row per file is broadcast, and a
-    # file's first block is read in order within one partition.
+    has_quote = F.contains("value", F.lit('"'))
+    # Fixed-width aggregates keep the pass over all lines a hash aggregate; the header
+    # texts are then fetched by line number. One row per file is broadcast.
     files = materialise(
         lines.groupBy("path").agg(
-            F.min(F.when(first, F.col("line_id"))).alias("line_id"),
+            F.min(F.when(first, F.col("line"))).alias("line"),
             F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-            F.bool_or(odd_quotes).alias("multi_line"),
+            *[
+                F.bool_or(F.when(has_quote, F.rlike("value", F.lit(_patterns(s)[0]))).otherwise(False)).alias(f"open_{i}")
+                for i, s in enumerate(SEPARATORS)
+            ],
         ),
         "files",
     )
-    headers = lines.join(F.broadcast(files.select("path", "line_id")), ["path", "line_id"]).select("path", "line_id", "value")
+    headers = lines.join(F.broadcast(files.select("path", "line")), ["path", "line"]).select("path", "line", "value")
     as_latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    rows = files.join(headers, ["path", "line_id"], "left").select(
-        "path", "utf8", "multi_line", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin).alias("header")
-    )
+    rows = files.join(headers, ["path", "line"], "left").withColumn("header", F.when(F.col("utf8"), F.col("value")).otherwise(as_latin))
     readable: dict[Dialect, list[str]] = defaultdict(list)
-    unreadable = []
-    found = rows.orderBy("path").collect()
+    unreadable, header_lines = [], {}
+    found = rows.drop("value").orderBy("path").collect()
     if not found:
         raise FileNotFoundError(f"no CSV files below {paths}")
     for row in found:
@@ -116,44 +136,114 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], min_columns: int
             unreadable.append(row["path"])
             continue
         encoding = "UTF-8" if row["utf8"] else "ISO-8859-1"
-        readable[Dialect(fitted[0], encoding, fitted[1], row["multi_line"])].append(row["path"])
-    return Listing(dict(readable), unreadable)
+        several = row[f"open_{SEPARATORS.index(fitted[0])}"]
+        readable[Dialect(fitted[0], encoding, fitted[1], several)].append(row["path"])
+        header_lines[row["path"]] = row["line"]
+    return Listing(dict(readable), unreadable, lines, header_lines)
+
+
+def _states(lines: DataFrame, separator: str) -> DataFrame:
+    """Lines with ``inside``, whether they begin within quotes, and ``opens``, whether they end there.
+
+    A line keeps, swaps or sets the reader's state. The state before a line is what was set last,
+    swapped as often as lines have swapped it since; it is first followed within each block
+    from its beginning, then from block to block of a file.
+    """
+    outside, inside = (
+        F.when(F.contains("value", F.lit('"')), F.rlike("value", F.lit(p))).otherwise(F.lit(bool(i))).cast("int")
+        for i, p in enumerate(_patterns(separator))
+    )
+    rows = lines.withColumns({"from_out": outside, "from_in": inside})
+    swap = (F.col("from_out") == 1) & (F.col("from_in") == 0)
+    order = Window.partitionBy("path", "block_start").orderBy("line")
+    upto, before = (order.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    swaps = lambda w: F.coalesce(F.sum(swap.cast("int")).over(w), F.lit(0)) % 2
+    rows = rows.withColumn("swapped", swaps(upto))
+    rows = rows.withColumn("fixed", F.when(F.col("from_out") == F.col("from_in"), F.col("from_out").bitwiseXOR(F.col("swapped"))))
+    rows = rows.withColumns({"last_fixed": F.last("fixed", True).over(before), "swapped_before": swaps(before)})
+    # what a whole block does, and the state in which each block begins
+    blocks = rows.groupBy("path", "block_start").agg(
+        F.max_by("swapped", "line").alias("swapped"), F.max_by(F.coalesce("fixed", "last_fixed"), "line").alias("fixed")
+    )
+    by_file = Window.partitionBy("path").orderBy("block_start")  # one row per block
+    done, earlier = (by_file.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    blocks = blocks.withColumn("total", F.sum("swapped").over(done) % 2)
+    # the state set by a block, with the swaps before it taken out
+    blocks = blocks.withColumn("fixed", F.col("fixed").bitwiseXOR(((F.col("total") + F.col("swapped")) % 2).cast("int")))
+    swapped_so_far = F.coalesce(F.sum("swapped").over(earlier), F.lit(0)) % 2
+    start = F.coalesce(F.last("fixed", True).over(earlier), F.lit(0)).bitwiseXOR(swapped_so_far.cast("int"))
+    blocks = blocks.select("path", "block_start", start.alias("start"))
+    rows = rows.join(blocks, ["path", "block_start"])
+    state = F.coalesce("last_fixed", "start").bitwiseXOR(F.col("swapped_before").cast("int"))
+    rows = rows.withColumn("inside", state == 1)
+    opens = F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out")) == 1
+    return rows.select(*lines.columns, "inside", opens.alias("opens"))
+
+
+def _records(lines: DataFrame, separator: str, max_lines: int) -> DataFrame:
+    """Lines joined to records where a quoted field goes over several of them.
+
+    A quote that is never closed would join the rest of its file: a record of more than
+    ``max_lines`` lines is taken for that, and its lines stand for themselves.
+    """
+    states = materialise(_states(lines, separator), "csv-states")
+    single = states.filter(~F.col("inside") & ~F.col("opens")).select(*lines.columns)
+    several = states.filter(F.col("inside") | F.col("opens"))
+    begins = F.when(~F.col("inside"), F.col("line"))
+    in_block = Window.partitionBy("path", "block_start").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    several = several.withColumn("record", F.last(begins, True).over(in_block))
+    blocks = several.groupBy("path", "block_start").agg(F.max_by("record", "line").alias("last_record"))
+    earlier = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block_start", F.last("last_record", True).over(earlier).alias("carried"))
+    several = several.join(blocks, ["path", "block_start"]).withColumn("record", F.coalesce("record", "carried", "line"))
+    sizes = several.groupBy("record").agg(F.count("*").alias("size"))
+    several = several.join(sizes, "record")
+    whole = several.filter(F.col("size") <= max_lines)
+    parts = F.sort_array(F.collect_list(F.struct("block_start", "line", "value")))  # at most max_lines
+    joined = whole.groupBy("path", "archivo", "record").agg(parts.alias("parts"))
+    joined = joined.select(
+        F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"),
+        "path",
+        "archivo",
+        F.col("parts")[0]["block_start"].alias("block_start"),
+        F.col("record").alias("line"),
+    )
+    loose = several.filter(F.col("size") > max_lines).select(*lines.columns)
+    return single.unionByName(joined).unionByName(loose)
 
 
-def read_dialect(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) -> DataFrame:
-    """Files of one dialect as text columns ``c0, c1, ...`` plus ``archivo``.
+def read_dialect(spark: SparkSession, listing: Listing, dialect: Dialect) -> DataFrame:
+    """The files of one dialect as text columns ``c0, c1, ...`` plus ``archivo``.
 
-    Lines with too many fields are dropped, short ones are padded with NULL. Files with
-    a quoted field over several lines are read whole, one task each; the others are split.
+    Lines with too many fields are dropped, short ones are padded with NULL.
     """
-    kept = _dialect_rows(spark, dialect, paths)
-    return kept.select(*[f"c{i}" for i in range(len(dialect.header))], F.col("_metadata.file_name").alias("archivo"))
+    return _dialect_rows(spark, listing, dialect).select(*[f"c{i}" for i in range(len(dialect.header))], "archivo")
 
 
-def _dialect_rows(spark: SparkSession, dialect: Dialect, paths: Sequence[str]) -> DataFrame:
+def _dialect_rows(spark: SparkSession, listing: Listing, dialect: Dialect) -> DataFrame:
+    """(c0, c1, ..., path, archivo)"""
     width = len(dialect.header)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    schema.add(_CORRUPT, T.StringType())
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", dialect.separator)
-        .option("encoding", dialect.encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", dialect.multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("columnPruning", False)  # pruned reads do not notice over-long lines
-        .csv(list(paths))
-    )
+    own = [(p, listing.headers[p]) for p in listing.readable[dialect]]
+    files = spark.createDataFrame(own, "path string, header_line bigint")  # one row per file
+    lines = listing.lines.join(F.broadcast(files), "path").filter(F.col("line") != F.col("header_line")).drop("header_line")
+    if dialect.multi_line:
+        lines = _records(lines, dialect.separator, MAX_RECORD_LINES)
+    text = F.col("value") if dialect.encoding == "UTF-8" else F.decode(F.col("value").cast("binary"), dialect.encoding)
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    options = {
+        "sep": dialect.separator,
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "maxCharsPerColumn": "-1",
+        "columnNameOfCorruptRecord": _CORRUPT,
+    }
+    parsed = F.from_csv(text, f"{fields}, {_CORRUPT} string", options)
+    rows = lines.filter(F.length(F.trim("value")) > 0).select("path", "archivo", parsed.alias("row"))
+    rows = rows.select("row.*", "path", "archivo")
     unquoted = F.regexp_replace(_CORRUPT, r'"([^"]|"")*"', "")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(dialect.separator), F.lit(""))) + 1
-    # a length is never negative: this only keeps a data column in the scan, as Spark
-    # refuses to read the corrupt record alone where a caller counts the rows
-    allowed = F.when(F.length("c0") < 0, 0).otherwise(width)
-    too_long = F.coalesce(fields > allowed, F.lit(False))
-    return rows.filter(~too_long)
+    found = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(dialect.separator), F.lit(""))) + 1
+    return rows.filter(~F.coalesce(found > width, F.lit(False))).drop(_CORRUPT)
 
 
 def resolve_columns(header: Sequence[str]) -> dict[str, int]:
@@ -197,7 +287,7 @@ def read_incidents(spark: SparkSession, paths: str | Sequence[str], scope: Scope
             (_present(F.col(f"c{resolved[c]}")) if c in resolved else F.lit(None).cast("string")).alias(c)
             for c in CANONICAL
         ]
-        parts.append(read_dialect(spark, dialect, files).select(*columns, "archivo"))
+        parts.append(read_dialect(spark, listing, dialect).select(*columns, "archivo"))
     if not parts:
         raise ValueError("no file holds the required columns: profile the files and extend the aliases")
     return reduce(DataFrame.unionByName, parts)
@@ -222,7 +312,7 @@ def skipped_files(spark: SparkSession, paths: str | Sequence[str], scope: Scope)
         if not missing:
             continue
         names = spark.createDataFrame([(_file_name(p),) for p in files], "archivo string")
-        counts = read_dialect(spark, dialect, files).groupBy("archivo").agg(F.count("*").alias("rows"))
+        counts = read_dialect(spark, listing, dialect).groupBy("archivo").agg(F.count("*").alias("rows"))
         counted = names.join(counts, "archivo", "left").select(
             "archivo", F.lit("missing columns: " + ", ".join(missing)).alias("reason"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")
         )
@@ -237,8 +327,8 @@ def read_sample(spark: SparkSession, path: str, rows: int | None = None) -> tupl
         return None
     if len(listing.readable) > 1:
         raise ValueError(f"{path} holds files of several dialects: profile them one by one")
-    dialect, files = next(iter(listing.readable.items()))
-    table = read_dialect(spark, dialect, files)
+    dialect = next(iter(listing.readable))
+    table = read_dialect(spark, listing, dialect)
     table = table if rows is None else table.limit(rows)
     named = [_present(F.col(f"c{i}")).alias(name) for i, name in enumerate(dialect.header)]
     return table.select(*named), dialect
@@ -247,18 +337,18 @@ def read_sample(spark: SparkSession, path: str, rows: int | None = None) -> tupl
 def folder_values(spark: SparkSession, paths: str | Sequence[str], source: Column | None = None) -> tuple[DataFrame, Listing]:
     """Every cell of every readable file, of however many dialects: (source, separator, encoding, column, value).
 
-    ``source`` names where a row comes from, by ``_metadata``; the file name if not given.
+    ``source`` names where a row comes from, by its ``path`` and ``archivo``; the latter if not given.
     """
     listing = list_files(spark, paths, PROFILE_MIN_COLUMNS)
     if not listing.readable:
         raise ValueError(f"no file below {paths} can be read")
-    name = F.col("_metadata.file_name") if source is None else source
+    name = F.col("archivo") if source is None else source
     parts = []
     for dialect, files in listing.readable.items():
         cells = [
             F.struct(F.lit(h).alias("column"), _present(F.col(f"c{i}")).alias("value")) for i, h in enumerate(dialect.header)
         ]
-        rows = _dialect_rows(spark, dialect, files).select(name.alias("source"), F.explode(F.array(*cells)).alias("cell"))
+        rows = _dialect_rows(spark, listing, dialect).select(name.alias("source"), F.explode(F.array(*cells)).alias("cell"))
         parts.append(rows.select("source", F.lit(dialect.separator).alias("separator"), F.lit(dialect.encoding).alias("encoding"), "cell.*"))
     return reduce(DataFrame.unionByName, parts), listing
 

@@ -1,6 +1,9 @@
 """Messy CSV folders: dialects, aliases, bad lines, scope and audit."""
 
+import random
+
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from riskpanel.functions.text import fold, normalise
@@ -179,3 +182,86 @@ def test_a_profile_reads_the_whole_file(spark, tmp_path):
     path = _write(tmp_path, "long.csv", "a;b;c;d\n" + "1;2;3;4\n" * 6000)
     assert csv_files.read_sample(spark, path)[0].count() == 6000
     assert csv_files.read_sample(spark, path, 10)[0].count() == 10
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_over_blocks_equal_a_whole_reader(spark, tmp_path, small_blocks, seed):
+    """Quoted line breaks, doubled quotes, separators and blank lines in fields, over many blocks of two files."""
+    rng = random.Random(seed)
+    pieces = ["x", "é", ";", '""', "\n", "\n\n", "a b", "", "long " * 9, '"";""', "1"]
+    want = []
+    for name in ("a.csv", "b.csv"):
+        lines = ["c1;c2;c3;c4"]
+        for _ in range(120):
+            fields = []
+            for _ in range(4):
+                if rng.random() < 0.3:
+                    fields.append('"' + "".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) + '"')
+                else:
+                    fields.append(rng.choice(["plain", "in\"side", "5", "", "tail\""]))
+            lines.append(";".join(fields))
+        _write(tmp_path, name, "\n".join(lines) + "\n")
+        with open(tmp_path / name, newline="", encoding="utf-8") as f:
+            text = f.read()
+        want += [r for r in _parsed(text)[1:] if any(r)]
+    listing = csv_files.list_files(spark, str(tmp_path), 4)
+    (dialect,) = listing.readable
+    assert dialect.multi_line and listing.lines.select("block_start").distinct().count() > 10
+    got = [tuple(r[c] or "" for c in ("c0", "c1", "c2", "c3")) for r in csv_files.read_dialect(spark, listing, dialect).collect()]
+    assert sorted(r for r in got if any(r)) == sorted(want)
+
+
+def _parsed(text):
+    """Rows of a CSV text by the plain rules: a quote opens a field only at its beginning."""
+    rows, row, field, i, state = [], [], "", 0, "start"
+    while i < len(text):
+        c = text[i]
+        if state == "quoted":
+            if text[i : i + 2] == '""':
+                field, i = field + '"', i + 1
+            elif c == '"':
+                state = "plain"
+            else:
+                field += c
+        elif c == ";":
+            row, field, state = [*row, field], "", "start"
+        elif c == "\n":
+            rows, row, field, state = [*rows, (*row, field)], [], "", "start"
+        elif c == '"' and state == "start":
+            state = "quoted"
+        else:
+            field, state = field + c, "plain"
+        i += 1
+    return rows
+
+
+def test_the_text_is_scanned_once(spark, tmp_path, monkeypatch):
+    broken = ROW.replace("CABECERA", '"CABE\nCERA"')
+    _write(tmp_path, "a.csv", "\n".join([HEADER, ROW, broken, ""]))
+    _write(tmp_path, "b.csv", f"{HEADER}\n{ROW}\n".replace(";", ","))
+    _write(tmp_path, "c.csv", f"{HEADER}\n{ROW}\n", "latin-1")
+    scans = []
+    for kind in ("text", "csv"):
+        real = getattr(DataFrameReader, kind)
+        monkeypatch.setattr(DataFrameReader, kind, lambda self, *a, _k=kind, _r=real, **o: scans.append(_k) or _r(self, *a, **o))
+    rows = csv_files.read_incidents(spark, str(tmp_path), Scope())
+    assert scans == ["text"] and rows.count() == 4
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan csv" not in plan
+
+
+def test_a_quote_that_is_never_closed_joins_no_file(spark, tmp_path, monkeypatch, small_blocks):
+    monkeypatch.setattr(csv_files, "MAX_RECORD_LINES", 5)
+    stray = ROW.replace("CABECERA", '"CABECERA')
+    _write(tmp_path, "a.csv", "\n".join([HEADER, ROW, stray, *[ROW] * 40, ""]))
+    rows = csv_files.read_incidents(spark, str(tmp_path), Scope())
+    assert rows.filter("parroquia = 'CABECERA'").count() == 41
