@@ -15,29 +15,37 @@ stand for one; where one gram has several contexts, a distributed merge sort dec
   anchor, the suffixes that agree to the window's end; those that also agree on the bytes
   before the anchor are repeats.
 
-Very many contexts of one gram are not gathered: the hashes of their windows are counted
-by aggregation instead, which gives the same answer. Hashes have 64 bits.
+More contexts of one gram than a range can hold are not gathered: the hashes of their windows
+are counted by aggregation instead, which gives the same answer. Hashes have 64 bits.
+
+Anchors and texts that can have no part in a step are left out of its shuffle by a filter of
+bounded size, as long as it can tell that many keys apart; beyond that by joins.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskpanel.llm.byte_words import filter_of, slices
 from riskpanel.llm.common import ship
-from riskpanel.session import materialise
+from riskpanel.session import materialise, temporary_tables
 
 WINDOW = 200
 GRAM = 32
 REACH = WINDOW - GRAM  # the anchor lies at most this far behind a window's start
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES_AT_ONCE = 1 << 20
+_NO_ID = -(1 << 63)
+_ROWS_AT_ONCE = 256
+_FILTERED_ROWS = 1 << 24  # keys that a filter of bounded size tells apart well
 _POWERS = {"n": 0}
 
 
@@ -102,48 +110,50 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, at - begin, grams[at], context
 
 
-def _batched(texts: list[bytes]):
-    """Runs of texts of about a megabyte: (first, last) numbers."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= _BYTES_AT_ONCE:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(own, k, text): rows are told apart by doc_id and text."""
+    """(own, k, text): k stands for a row's doc_id and text, by which rows are told apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))
     return docs.select(own.alias("own"), F.xxhash64(own, text).alias("k"), text.alias("text"))
 
 
-def _anchor_rows(keyed: DataFrame) -> DataFrame:
+def _known(found: DataFrame, column: str) -> tuple[DataFrame, Broadcast | None]:
+    """The table, and a bounded filter of its column; None if it is too large for the filter to be of use."""
+    rows = found.count()
+    if rows > _FILTERED_ROWS:
+        return found, None
+    return found, found.sparkSession.sparkContext.broadcast(filter_of(found.select(F.col(column).alias("fp")), rows))
+
+
+def _anchor_rows(keyed: DataFrame, grams: Broadcast | None = None) -> DataFrame:
+    """The anchors (gram, context, k, at), with a filter only those with one of its grams and a few more."""
+
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t.encode("utf-8") for t in batch.column("text").to_pylist()]
-            own, k = batch.column("own").to_numpy(), batch.column("k").to_numpy()
-            for first, last in _batched(texts):
-                text, at, gram, context = anchors(texts[first:last])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(own[first + text]), pa.array(k[first + text]), pa.array(at)],
-                    ["gram", "context", "own", "k", "at"],
-                )
+            k = batch.column("k").to_numpy()
+            text, at, gram, context = anchors(texts)
+            if grams is not None:
+                kept = grams.value.has(gram)
+                text, at, gram, context = text[kept], at[kept], gram[kept], context[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), pa.array(k[text]), pa.array(at)],
+                ["gram", "context", "k", "at"],
+            )
 
-    return keyed.mapInArrow(run, "gram long, context long, own long, k long, at long")
+    return keyed.mapInArrow(run, "gram long, context long, k long, at long")
 
 
-def _packed_texts(keyed: DataFrame) -> DataFrame:
-    """The texts compressed, for a smaller shuffle."""
+def _packed_texts(keyed: DataFrame, only: Broadcast | None) -> DataFrame:
+    """The texts compressed, for a smaller shuffle; with a filter only those it knows."""
 
     def run(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=6).compress
-        for batch in batches:
+        for batch in slices(batches):
+            if only is not None:
+                batch = batch.filter(pa.array(only.value.has(batch.column("k").to_numpy().view(np.uint64))))
             packed = [pack(t.encode("utf-8")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("own"), batch.column("k"), pa.array(packed, pa.binary())], ["own", "k", "packed"])
 
@@ -151,22 +161,21 @@ def _packed_texts(keyed: DataFrame) -> DataFrame:
 
 
 def _contexts(packed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes before and behind each wanted anchor (gram, context, own, k, at, crowded)."""
-    each = wanted.groupBy("own", "k").agg(F.collect_list(F.struct("at", "gram", "context", "crowded")).alias("anchors"))
-    rows = packed.join(each, ["own", "k"]).select("packed", "anchors")
+    """The bytes before and behind each wanted anchor (gram, context, k, at, crowded)."""
+    each = wanted.groupBy("k").agg(F.collect_list(F.struct("at", "gram", "context", "crowded")).alias("anchors"))
+    once = packed.groupBy("k").agg(F.first("packed").alias("packed"))  # repeated rows are one text
+    rows = once.join(each, "k").select("packed", "anchors")
 
     def run(batches):
         import zstandard
 
-        for batch in batches:
-            seen, out = set(), []
+        for batch in (b.slice(i, _ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _ROWS_AT_ONCE)):
+            out = []
             for blob, found in zip(batch.column("packed").to_pylist(), batch.column("anchors").to_pylist(), strict=True):
                 text = zstandard.ZstdDecompressor().decompress(blob)
                 for x in found:
-                    if (x["gram"], x["context"]) not in seen:  # repeated rows bring an anchor twice
-                        seen.add((x["gram"], x["context"]))
-                        a = x["at"]
-                        out.append((x["gram"], x["context"], text[max(0, a - REACH) : a], text[a : a + WINDOW], x["crowded"]))
+                    a = x["at"]
+                    out.append((x["gram"], x["context"], text[max(0, a - REACH) : a], text[a : a + WINDOW], x["crowded"]))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["gram", "context", "before", "behind", "crowded"])
@@ -357,44 +366,54 @@ def _crowded_windows(contexts: DataFrame) -> DataFrame:
     return contexts.mapInArrow(run, "gram long, context long, distance long, window long")
 
 
-def repeated_starts(docs: DataFrame, crowd: int = 2000, suffixes_per_range: int = 20_000, sample_rows: int = 20_000) -> DataFrame:
-    """(own, k, low, high): the starts of repeated windows, as ranges of places in a text.
+def repeated_starts(docs: DataFrame, crowd: int = 40_000, suffixes_per_range: int = 20_000, sample_rows: int = 20_000) -> DataFrame:
+    """(k, low, high): the starts of repeated windows, as ranges of places in a text.
 
-    ``crowd`` contexts of one gram are merged in one range at most; those of grams with
-    more are counted window by window. Splitters come from at most about ``sample_rows``
+    ``crowd`` contexts of one gram are merged in one range at most, two ranges' worth; those
+    of grams with more are counted window by window. Splitters come from at most about ``sample_rows``
     suffixes, chosen by hash.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     keyed = _keyed(docs)
-    often = _anchor_rows(keyed).groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("gram")
-    often = materialise(often, "repeated-grams")
-    rows = materialise(_anchor_rows(keyed).join(often, "gram", "left_semi"), "anchors")
-    place = F.struct("own", "k", "at")
-    classes = rows.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(place).alias("place"))
-    classes = materialise(classes, "contexts")
-    crowds = materialise(classes.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > 1), "gram-contexts")
-    wanted = classes.join(crowds, "gram").select("gram", "context", "place.*", (F.col("contexts") > crowd).alias("crowded"))
-    contexts = materialise(_contexts(_packed_texts(keyed), wanted), "context-bytes")
-    calm = contexts.filter(~F.col("crowded"))
-    total = calm.count()
-    every = max(1, math.ceil(total / sample_rows))
-    sample = calm.filter(F.pmod(F.xxhash64("gram", "context"), F.lit(every)) == 0).select(F.substring("behind", 1, GRAM).alias("s")).collect()
-    ranges = max(1, math.ceil(total / suffixes_per_range))
-    strings = sorted(bytes(r["s"]) for r in sample)
-    splitters = sorted({strings[i * len(strings) // ranges] for i in range(1, ranges)}) if strings else []
-    merged = _sorted_runs(calm, splitters).groupBy("part").applyInArrow(_repeats, "gram long, context long, low long, high long")
-    windows = _crowded_windows(contexts.filter("crowded"))
-    window = ["gram", "distance", "window"]  # so that one place seen from two anchors is not two
-    several = windows.groupBy(*window).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(*window)
-    crowded = windows.join(materialise(several, "repeated-windows"), window, "left_semi").select("gram", "context", F.col("distance").alias("low"), F.col("distance").alias("high"))
-    # a context that occurs twice repeats every window inside it; the finer verdicts are for the others
-    single = classes.filter(F.col("n") == 1).select("gram", "context")
-    partly = merged.unionByName(crowded).join(single, ["gram", "context"], "left_semi")
-    whole = classes.filter(F.col("n") > 1).select("gram", "context", F.lit(0).cast("bigint").alias("low"), F.lit(REACH).cast("bigint").alias("high"))
-    verdicts = materialise(partly.unionByName(whole), "repeats")
-    return rows.join(verdicts, ["gram", "context"]).select(
-        "own", "k", F.greatest(F.col("at") - F.col("high"), F.lit(0)).alias("low"), (F.col("at") - F.col("low")).alias("high")
-    )
+    with temporary_tables(spark) as stays:
+        with temporary_tables(spark) as keep:
+            often = _anchor_rows(keyed).groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("gram")
+            often, known = _known(materialise(often, "repeated-grams"), "gram")
+            rows = _anchor_rows(keyed, known)
+            if known is None:
+                rows = rows.join(often, "gram", "left_semi")
+            rows = keep(rows, "anchors")
+        place = F.struct("k", "at")
+        classes = rows.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(place).alias("place"))
+        classes = materialise(classes, "contexts")
+        with temporary_tables(spark) as keep:
+            crowds = classes.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > 1)
+            wanted = classes.join(crowds, "gram").select("gram", "context", "place.*", (F.col("contexts") > crowd).alias("crowded"))
+            wanted = materialise(wanted, "wanted-anchors")
+            _, texts = _known(materialise(wanted.select("k").distinct(), "wanted-texts"), "k")
+            contexts = keep(_contexts(_packed_texts(keyed, texts), wanted), "context-bytes")
+        calm = contexts.filter(~F.col("crowded"))
+        total = calm.count()
+        every = max(1, math.ceil(total / sample_rows))
+        sample = calm.filter(F.pmod(F.xxhash64("gram", "context"), F.lit(every)) == 0).select(F.substring("behind", 1, GRAM).alias("s")).collect()
+        ranges = max(1, math.ceil(total / suffixes_per_range))
+        strings = sorted(bytes(r["s"]) for r in sample)
+        splitters = sorted({strings[i * len(strings) // ranges] for i in range(1, ranges)}) if strings else []
+        merged = _sorted_runs(calm, splitters).groupBy("part").applyInArrow(_repeats, "gram long, context long, low long, high long")
+        windows = _crowded_windows(contexts.filter("crowded"))
+        window = ["gram", "distance", "window"]  # so that one place seen from two anchors is not two
+        several = windows.groupBy(*window).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(*window)
+        crowded = windows.join(materialise(several, "repeated-windows"), window, "left_semi").select("gram", "context", F.col("distance").alias("low"), F.col("distance").alias("high"))
+        # a context that occurs twice repeats every window inside it; the finer verdicts are for the others
+        single = classes.filter(F.col("n") == 1).select("gram", "context")
+        partly = merged.unionByName(crowded).join(single, ["gram", "context"], "left_semi")
+        whole = classes.filter(F.col("n") > 1).select("gram", "context", F.lit(0).cast("bigint").alias("low"), F.lit(REACH).cast("bigint").alias("high"))
+        verdicts = materialise(partly.unionByName(whole), "repeats")
+        found = rows.join(verdicts, ["gram", "context"]).select(
+            "k", F.greatest(F.col("at") - F.col("high"), F.lit(0)).alias("low"), (F.col("at") - F.col("low")).alias("high")
+        )
+        return stays(found, "repeated-starts")
 
 
 def covered(size: int, starts: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -419,29 +438,42 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     other, so their long texts are removed from all of them. Rows without doc_id take part
     like others, and an empty table gives an empty result.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     keyed = _keyed(docs)
-    spans = repeated_starts(docs).groupBy("own", "k").agg(F.collect_set(F.struct("low", "high")).alias("starts"))
-    rows = _packed_texts(keyed).join(spans, ["own", "k"], "left").select("own", "packed", "starts")
+    spans = repeated_starts(docs).groupBy("k").agg(F.collect_set(F.struct("low", "high")).alias("starts"))
+    spans, known = _known(materialise(spans, "removed-spans"), "k")
     schema = "own long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
+    names = ["own", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: None if with_bytes else -1]
+
+    def cut(own: pa.Array, texts: Iterable[bytes], starts: Iterable[list | None]) -> pa.RecordBatch:
+        out = []
+        for data, found in zip(texts, starts, strict=True):
+            gone = covered(len(data), [(x["low"], x["high"]) for x in found or []])
+            edges = [0, *(e for span in gone for e in span), len(data)]
+            kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            out.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+        columns = [pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 5, types, strict=True)]
+        return pa.RecordBatch.from_arrays([own, *columns][: len(names)], names)
+
+    def whole(batches):
+        for batch in slices(batches):  # texts without a repeat need no shuffle
+            batch = batch.filter(pa.array(~known.value.has(batch.column("k").to_numpy().view(np.uint64))))
+            texts = [t.encode("utf-8") for t in batch.column("text").to_pylist()]
+            yield cut(batch.column("own"), texts, [None] * len(texts))
 
-    def run(batches):
+    def partly(batches):
         import zstandard
 
         for batch in batches:
-            out = []
-            for blob, starts in zip(batch.column("packed").to_pylist(), batch.column("starts").to_pylist(), strict=True):
-                data = zstandard.ZstdDecompressor().decompress(blob)
-                gone = covered(len(data), [(x["low"], x["high"]) for x in starts or []])
-                edges = [0, *(e for span in gone for e in span), len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            columns = [pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 5, types, strict=True)]
-            names = ["own", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            columns = [batch.column("own"), *columns]
-            yield pa.RecordBatch.from_arrays(columns[: None if with_bytes else -1], names[: None if with_bytes else -1])
-
-    done = rows.mapInArrow(run, schema)
-    own = F.when(F.col("own") != F.lit(-(1 << 63)), F.col("own")).alias("doc_id")
+            for part in (batch.slice(i, _ROWS_AT_ONCE) for i in range(0, batch.num_rows, _ROWS_AT_ONCE)):
+                texts = map(zstandard.ZstdDecompressor().decompress, part.column("packed").to_pylist())
+                yield cut(part.column("own"), texts, part.column("starts").to_pylist())
+
+    rows = _packed_texts(keyed, known).join(spans, "k", "left").select("own", "packed", "starts")
+    done = rows.mapInArrow(partly, schema)
+    if known is not None:
+        done = done.unionByName(keyed.mapInArrow(whole, schema))
+    own = F.when(F.col("own") != F.lit(_NO_ID), F.col("own")).alias("doc_id")
     return done.select(own, *[c for c in done.columns if c != "own"])

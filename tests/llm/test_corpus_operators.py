@@ -207,12 +207,32 @@ def test_suffix_dedup(spark, texts):
     got = suffix_dedup.remove_repeats(df, with_bytes=False).collect()
     assert sorted((tuple(r) for r in got), key=repr) == want
     spans = defaultdict(set)
+    keys = {r.k: r.own for r in suffix_dedup._keyed(df).collect()}
     for r in suffix_dedup.repeated_starts(df, crowd=1, suffixes_per_range=20).collect():
-        spans[r.own].add((r.low, r.high))
+        spans[keys[r.k]].add((r.low, r.high))
     sizes = {w[0]: w[1:3] for w in want}
     assert all(sum(b - a for a, b in suffix_dedup.covered(n, list(spans[i]))) == removed for i, (n, removed) in sizes.items())
 
 
+def test_suffix_dedup_without_filters(spark, texts, monkeypatch):
+    """Beyond the filters' bound the joins alone decide, with the same rows."""
+    rows = [(i, texts[i % 40]) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "_FILTERED_ROWS", 0)
+    got = suffix_dedup.remove_repeats(df, with_bytes=False).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_repeats([(i, t.encode()) for i, t in rows])
+
+
+def test_suffix_dedup_of_odd_rows(spark, odd):
+    """Null ids, a very long text twice, clashing names, and no rows."""
+    want = brute_repeats([(r.doc_id, (r.text or "").encode()) for r in odd.collect() if r.doc_id != 3])
+    named = odd.select("*", F.lit(1).alias("own"), F.lit("x").alias("k"), F.lit(2).alias("starts"))
+    got = suffix_dedup.remove_repeats(named).collect()
+    assert sorted((tuple(r)[:5] for r in got if r.doc_id != 3), key=repr) == want
+    assert {(r.n_bytes, r.n_removed, r.n_spans) for r in got if r.doc_id == 3} == {(150_000, 150_000, 1)}
+    assert suffix_dedup.remove_repeats(odd.limit(0)).count() == 0
+
+
 def test_merge_of_front_coded_runs():
     generator = np.random.default_rng(2)
     runs, strings = [], []
