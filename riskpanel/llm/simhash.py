@@ -48,6 +48,15 @@ def word_starts(data: bytes, shingle: int) -> tuple[bytes, list[int], list[int]]
     return b" ".join(words), starts[: len(words) - shingle + 1], ends[shingle - 1 :]
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    ones = np.zeros(BITS, np.int64)
+    for i in range(0, len(hashes), _HASHES_AT_ONCE):
+        part = hashes[i : i + _HASHES_AT_ONCE].astype("<u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(data: bytes, shingle: int) -> int:
     """The SimHash of a text's word runs; 0 without words."""
     from xxhash import xxh64_intdigest
@@ -55,13 +64,7 @@ def fingerprint(data: bytes, shingle: int) -> int:
     joined, starts, ends = word_starts(data, shingle)
     if not starts:
         return 0
-    ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(starts), _HASHES_AT_ONCE):
-        part = zip(starts[i : i + _HASHES_AT_ONCE], ends[i : i + _HASHES_AT_ONCE], strict=True)
-        hashes = np.array([xxh64_intdigest(joined[s:e], _SEED) for s, e in part], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+    return majority(np.fromiter((xxh64_intdigest(joined[s:e], _SEED) for s, e in zip(starts, ends, strict=True)), np.uint64, len(starts)))
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
