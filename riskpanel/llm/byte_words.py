@@ -61,6 +61,14 @@ def _spread(start: np.ndarray, size: np.ndarray, places: np.ndarray) -> np.ndarr
     return np.repeat(start - places[:-1], size) + np.arange(places[-1])
 
 
+def substring_hashes(data: np.ndarray):
+    """A function (starts, ends) that hashes substrings by a prefix polynomial, equal for equal ones."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    return lambda start, end: mixed((sums[end] - sums[start]) * down[start])
+
+
 class Alphabet:
     """What each byte is: part of a word, a gap between words, or a break that no phrase crosses."""
 
@@ -101,13 +109,8 @@ class Words:
         size = end - start
         self.end = np.cumsum(size + spaced) - spaced
         self.start = self.end - size
-        up, self._down = _powers(len(self.data) + 1)
-        self._sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self._sums[1:])
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of substrings of ``data`` by its prefix polynomial, equal for equal ones."""
-        return mixed((self._sums[end] - self._sums[start]) * self._down[start])
+        #: hashes of substrings of ``data``
+        self.hashes = substring_hashes(self.data)
 
     def identities(self) -> np.ndarray:
         """For each word the number of a word of the same bytes, one for all of them.

@@ -6,25 +6,35 @@ pre-tokens, each a run of spaces and what follows up to the next one, and its to
 count is the sum of theirs. Each distinct pre-token of the corpus is tokenised once; the
 counts are joined to the documents' pre-tokens and summed.
 
-Frequent pre-tokens, up to a bound on rows and bytes, form the broadcast side of the join.
-The others, each in few documents, are tokenised where they occur, once per batch: to
-send that long tail through a join costs more than to tokenise it.
+The counts of the most frequent pre-tokens, up to a bound on rows and bytes, are broadcast and
+summed where the documents are. A filter of bounded size tells which of the others occur only
+once in the corpus: such a one is tokenised in its place. The rest, each in some documents,
+goes as (document, pre-token, frequency) through a join with the counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskpanel.llm.byte_words import Tally, batch_bytes, filter_of, mixed, one_of_equal, same_bytes, slices, string_array, substring_hashes
 from riskpanel.llm.common import ship, text_of
 from riskpanel.session import materialise
 
 _MARK = "▁"  # stands for a space inside the vocabulary
 
 
+def _tokens(processor, pieces: list[str]) -> np.ndarray:
+    """Number of tokens of each pre-token."""
+    # the library puts one space mark before a text itself
+    ids = processor.encode([p[1:] for p in pieces], num_threads=1)
+    return np.array([len(x) if p != " " else 1 for x, p in zip(ids, pieces, strict=True)], np.int64)
+
+
 def _with_counts(rows: DataFrame, model) -> DataFrame:
     """``rows`` with ``n``, the number of tokens of their ``piece``."""
     names = rows.columns
@@ -34,18 +44,38 @@ def _with_counts(rows: DataFrame, model) -> DataFrame:
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for batch in batches:
-            coded = batch.column("piece").dictionary_encode()
-            found = coded.dictionary.to_pylist()
-            # the library puts one space mark before a text itself
-            ids = processor.encode([p[1:] for p in found], num_threads=1)
-            each = pa.array([len(x) if p != " " else 1 for x, p in zip(ids, found, strict=True)], pa.int64())
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, each.take(coded.indices)], [*names, "n"])
+            each = pa.array(_tokens(processor, batch.column("piece").to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), each], [*names, "n"])
 
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     return rows.mapInArrow(count, f"{schema}, n long")
 
 
+def _keys(pieces: DataFrame) -> DataFrame:
+    """(fp): the hashes of pre-tokens, as ``_Pieces`` makes them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_hashed(batch.column("text")).view(np.int64))], ["fp"])
+
+    return pieces.select(F.col("piece").alias("text")).mapInArrow(run, "fp long")
+
+
+def _hashed(pieces: pa.Array) -> np.ndarray:
+    data, bounds = batch_bytes(pieces)
+    return substring_hashes(data[bounds[0] : bounds[-1]])(bounds[:-1] - bounds[0], bounds[1:] - bounds[0])
+
+
+def _head_table(head: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the most frequent pre-tokens and their numbers of tokens.
+
+    Two of them with one hash would not be told apart: both are left to the join.
+    """
+    keys = _hashed(head.column("piece").combine_chunks()) if head.num_rows else np.zeros(0, np.uint64)
+    keys, first, times = np.unique(keys, return_index=True, return_counts=True)
+    return keys[times == 1], head.column("n").to_numpy()[first][times == 1]
+
+
 def _head(pre_tokens: DataFrame, max_rows: int, max_bytes: int) -> int:
     """Smallest power of two so that pre-tokens at least as frequent fit the bounds."""
     levels = (
@@ -64,6 +94,76 @@ def _head(pre_tokens: DataFrame, max_rows: int, max_bytes: int) -> int:
     return cut
 
 
+class _Pieces:
+    """The pre-tokens of some texts, each of which begins with a space, as places in their bytes."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        data, bounds = batch_bytes(rows.column("text"))
+        self.data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
+        begins = self.data == 32
+        begins[1:] &= self.data[:-1] != 32
+        begins[bounds[:-1]] = True
+        self.start = np.flatnonzero(begins)
+        self.end = np.append(self.start[1:], len(self.data))
+        self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(self.start, bounds)))
+        self.key = substring_hashes(self.data)(self.start, self.end)
+
+    def strings(self, at: np.ndarray) -> pa.Array:
+        return string_array(self.data, self.start[at], self.end[at])
+
+
+def _pre_tokens(texts: DataFrame) -> DataFrame:
+    """(piece, freq) by task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(1)
+        rows_of = lambda b: pa.RecordBatch.from_arrays([b.column("string"), b.column("n0")], ["piece", "freq"])
+        for rows in slices(batches):
+            p = _Pieces(rows)
+            ones = np.ones((1, len(p.start)), np.int64)
+            yield from map(rows_of, tally.add(p.key, np.zeros(len(p.start), np.int32), ones, p.data, p.start, p.end))
+        yield rows_of(tally.take())
+
+    return texts.select("text").mapInArrow(run, "piece string, freq long")
+
+
+def _by_document(texts: DataFrame, model, head, repeated) -> DataFrame:
+    """(doc_id, h, n_bytes, copies, total, piece, freq): what is known of a row at once, and its pre-tokens still to be counted.
+
+    A row without a piece holds the tokens of the head and of the pre-tokens that occur nowhere else.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
+
+        processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
+        keys, counts = head.value
+        for rows in slices(batches):
+            p = _Pieces(rows)
+            at = np.minimum(np.searchsorted(keys, p.key), max(0, len(keys) - 1))
+            known = keys[at] == p.key if len(keys) else np.zeros(len(p.key), bool)
+            total = np.zeros(rows.num_rows, np.int64)
+            np.add.at(total, p.text[known], counts[at[known]])
+            single = np.flatnonzero(~known & ~repeated.value.has(p.key))
+            np.add.at(total, p.text[single], _tokens(processor, p.strings(single).to_pylist()))
+            rest = np.flatnonzero(~known & repeated.value.has(p.key))
+            # once per document, the occurrences counted by their bytes
+            other = one_of_equal(mixed(p.key[rest] + p.text[rest].astype(np.uint64)))
+            same = same_bytes(p.data, p.start[rest], p.end[rest], other) & (p.text[rest] == p.text[rest][other])
+            freq = np.bincount(np.where(same, other, np.arange(len(rest))), minlength=len(rest))
+            shown = np.flatnonzero(freq)
+            of = p.text[rest[shown]]
+            take = np.concatenate([np.arange(rows.num_rows), of])
+            columns = [rows.column(c).take(pa.array(take)) for c in ("doc_id", "h", "n_bytes")]
+            pieces = pa.concat_arrays([pa.nulls(rows.num_rows, pa.string()), p.strings(rest[shown])])
+            copies = np.concatenate([np.ones(rows.num_rows, np.int64), np.zeros(len(of), np.int64)])
+            sums = np.concatenate([total, np.zeros(len(of), np.int64)])
+            amounts = np.concatenate([np.zeros(rows.num_rows, np.int64), freq[shown]])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(copies), pa.array(sums), pieces, pa.array(amounts)], ["doc_id", "h", "n_bytes", "copies", "total", "piece", "freq"])
+
+    return texts.mapInArrow(run, "doc_id long, h long, n_bytes long, copies long, total long, piece string, freq long")
+
+
 def count_tokens(
     docs: DataFrame, model_path: str, limit: int = 4096, head_rows: int = 300_000, head_bytes: int = 16 << 20
 ) -> DataFrame:
@@ -76,29 +176,35 @@ def count_tokens(
     spark = docs.sparkSession
     ship(spark)
     text = text_of()
-    keyed = docs.select(
+    texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64(text, F.crc32(text)).alias("h"),
         F.octet_length(text).cast("bigint").alias("n_bytes"),
-        F.regexp_extract_all(F.concat(F.lit(" "), F.translate(text, _MARK, " ")), F.lit(" +[^ ]*"), F.lit(0)).alias("pieces"),
+        F.concat(F.lit(" "), F.translate(text, _MARK, " ")).alias("text"),
     )
-    key = ["doc_id", "h", "n_bytes"]
-    pieces = keyed.select(*key, F.posexplode("pieces").alias("pos", "piece"))
     with open(model_path, "rb") as f:  # a fixed file of under a megabyte
         model = spark.sparkContext.broadcast(f.read())
-    counted = pieces.filter(F.col("n_bytes") > 0).groupBy("piece").agg(F.count("*").alias("freq"))
+    counted = _pre_tokens(texts.filter(F.col("n_bytes") > 0)).groupBy("piece").agg(F.sum("freq").alias("freq"))
     common = materialise(counted.filter(F.col("freq") > 1), "pre-tokens")
     cut = _head(common, head_rows, head_bytes)
-    head = F.broadcast(materialise(_with_counts(common.filter(F.col("freq") >= cut), model), "counted").select("piece", "n"))
-    copies = F.sum(F.when(F.col("pos") == 0, 1).otherwise(0)).alias("copies")
-    joined = pieces.join(head, "piece", "left")
-    known = joined.groupBy(*key).agg(F.sum("n").alias("total"), copies)
-    missed = _with_counts(joined.filter(F.col("n").isNull() & (F.col("n_bytes") > 0)).select(*key, "piece"), model)
-    rest = missed.groupBy(*key).agg(F.sum("n").alias("total"), F.lit(0).cast("bigint").alias("copies"))
-    known = known.unionByName(rest).groupBy(*key).agg(F.sum("total").alias("total"), F.sum("copies").alias("copies"))
+    known = materialise(_with_counts(common, model), "counted-pre-tokens")
+    head = _head_table(known.filter(F.col("freq") >= cut).select("piece", "n").toArrow())
+    tail = known.filter(F.col("freq") < cut)
+    keyed = _keys(tail)
+    repeated = spark.sparkContext.broadcast(filter_of(keyed, tail.count()))
+    found = _by_document(texts, model, spark.sparkContext.broadcast(head), repeated)
+    found = materialise(found, "document-pre-tokens")
+    joined = found.filter(F.col("piece").isNotNull()).join(tail.select("piece", "n"), "piece", "left")
+    # the filter knows a few pre-tokens that occur only once
+    strays = _with_counts(joined.filter(F.col("n").isNull()).drop("n"), model)
+    key = ["doc_id", "h", "n_bytes"]
+    amounts = joined.filter(F.col("n").isNotNull()).unionByName(strays)
+    amounts = amounts.select(*key, F.lit(0).cast("bigint").alias("copies"), (F.col("n") * F.col("freq")).alias("total"))
+    every = found.filter(F.col("piece").isNull()).select(*key, "copies", "total").unionByName(amounts)
+    summed = every.groupBy(*key).agg(F.sum("total").alias("total"), F.sum("copies").alias("copies"))
     # a repeated row's pre-tokens were summed over its copies
     tokens = F.when(F.col("n_bytes") == 0, 0).otherwise(F.expr("total div copies")).cast("bigint")
-    return known.select(
+    return summed.select(
         "doc_id",
         "n_bytes",
         tokens.alias("n_tokens"),
