@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskpanel.session import ship  # noqa: F401  (the operators import it from here)
+from riskpanel import session
+
+#: Rows of an Arrow batch. Whole texts may be long, and Spark's 10,000 of them would be held
+#: several times over, in the executor and in its Python workers.
+BATCH_ROWS = 1000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, and let the session's Arrow batches be no larger than ``BATCH_ROWS``."""
+    session.ship(spark)
+    if not 0 < int(spark.conf.get(_ROWS_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS_SETTING, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

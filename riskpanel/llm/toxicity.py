@@ -269,14 +269,15 @@ def tag(chain: Chain, memo: dict[str, float], texts: list[str]) -> tuple[np.ndar
 
 
 def _spans(text: str, p: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of toxic words as (start, end) in the lower-cased text."""
+    """Runs of toxic words as (start, end) in the text as it stands."""
+    lowered = text.lower()
+    # a character may have a longer lower case: then each place is that of its character
+    place = [i for i, c in enumerate(text) for _ in c.lower()] if len(lowered) != len(text) else range(len(text))
     out, before = [], -2
-    for i, match in enumerate(_WORDS.finditer(text.lower())):
+    for i, match in enumerate(_WORDS.finditer(lowered)):
         if p[i] > 0.5:
-            if before == i - 1:
-                out[-1] = (out[-1][0], match.end())
-            else:
-                out.append(match.span())
+            start, end = place[match.start()], place[match.end() - 1] + 1
+            out.append((out.pop()[0], end) if before == i - 1 else (start, end))
             before = i
     return out
 
@@ -317,14 +318,15 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.7) -> DataFrame:
     """
     ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(chain)
-    schema = docs.select(packed(docs).alias("row"), F.col("text").cast("string").alias("text"))
-    out_type = f"row {schema.schema['row'].dataType.simpleString()}, score double, predicted int, spans array<struct<start:int,end:int>>"
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    rows = rows.select(packed(rows).alias("row"))  # the text goes along once, within its row
+    out_type = f"row {rows.schema['row'].dataType.simpleString()}, score double, predicted int, spans array<struct<start:int,end:int>>"
 
     def run(batches):
         memo = _Unaries(model.value)
         parts = (b.slice(i, _ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, _ROWS_AT_ONCE))
         for batch in parts:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [t or "" for t in batch.column("row").field("text").to_pylist()]
             found, spans = tag(model.value, memo, texts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -339,4 +341,4 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.7) -> DataFrame:
                 ["row", "score", "predicted", "spans"],
             )
 
-    return schema.mapInArrow(run, out_type)
+    return rows.mapInArrow(run, out_type)
