@@ -239,8 +239,8 @@ def _dialect_rows(spark: SparkSession, listing: Listing, dialect: Dialect) -> Da
         "columnNameOfCorruptRecord": _CORRUPT,
     }
     parsed = F.from_csv(text, f"{fields}, {_CORRUPT} string", options)
-    rows = lines.filter(F.length(F.trim("value")) > 0).select("path", "archivo", parsed.alias("row"))
-    rows = rows.select("row.*", "path", "archivo")
+    # a generator is evaluated once per line; as a plain column it would be parsed again for every use
+    rows = lines.filter(F.length(F.trim("value")) > 0).select(F.inline(F.array(parsed)), "path", "archivo")
     unquoted = F.regexp_replace(_CORRUPT, r'"([^"]|"")*"', "")
     found = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(dialect.separator), F.lit(""))) + 1
     return rows.filter(~F.coalesce(found > width, F.lit(False))).drop(_CORRUPT)
