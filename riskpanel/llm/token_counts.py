@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskpanel.llm.byte_words import Tally, batch_bytes, filter_of, mixed, one_of_equal, same_bytes, slices, string_array, substring_hashes
 from riskpanel.llm.common import ship, text_of
-from riskpanel.session import materialise
+from riskpanel.session import materialise, temporary_tables
 
 _MARK = "▁"  # stands for a space inside the vocabulary
 
@@ -184,10 +184,11 @@ def count_tokens(
     )
     with open(model_path, "rb") as f:  # a fixed file of under a megabyte
         model = spark.sparkContext.broadcast(f.read())
-    counted = _pre_tokens(texts.filter(F.col("n_bytes") > 0)).groupBy("piece").agg(F.sum("freq").alias("freq"))
-    common = materialise(counted.filter(F.col("freq") > 1), "pre-tokens")
-    cut = _head(common, head_rows, head_bytes)
-    known = materialise(_with_counts(common, model), "counted-pre-tokens")
+    with temporary_tables(spark) as keep:
+        counted = _pre_tokens(texts.filter(F.col("n_bytes") > 0)).groupBy("piece").agg(F.sum("freq").alias("freq"))
+        common = materialise(counted.filter(F.col("freq") > 1), "pre-tokens")
+        cut = _head(common, head_rows, head_bytes)
+        known = keep(_with_counts(common, model), "counted-pre-tokens")
     head = _head_table(known.filter(F.col("freq") >= cut).select("piece", "n").toArrow())
     tail = known.filter(F.col("freq") < cut)
     keyed = _keys(tail)
