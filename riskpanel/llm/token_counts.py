@@ -9,7 +9,8 @@ counts are joined to the documents' pre-tokens and summed.
 The counts of the most frequent pre-tokens, up to a bound on rows and bytes, are broadcast and
 summed where the documents are. A filter of bounded size tells which of the others occur only
 once in the corpus: such a one is tokenised in its place. The rest, each in some documents,
-goes as (document, pre-token, frequency) through a join with the counts.
+goes once as (row, pre-token, frequency) through a join with the counts. Rows have numbers of
+their own, so that neither their ids nor their texts' hashes are sent along.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from riskpanel.llm.common import ship, text_of
 from riskpanel.session import materialise, temporary_tables
 
 _MARK = "▁"  # stands for a space inside the vocabulary
+_ROW_BITS = 33  # a row's number within its task
 
 
 def _tokens(processor, pieces: list[str]) -> np.ndarray:
@@ -128,9 +131,11 @@ def _pre_tokens(texts: DataFrame) -> DataFrame:
 
 
 def _by_document(texts: DataFrame, model, head, repeated) -> DataFrame:
-    """(doc_id, h, n_bytes, copies, total, piece, freq): what is known of a row at once, and its pre-tokens still to be counted.
+    """(row, doc_id, n_bytes, total, piece, freq): what is known of a row at once, and its pre-tokens still to be counted.
 
-    A row without a piece holds the tokens of the head and of the pre-tokens that occur nowhere else.
+    Rows are numbered as they come, so the table has to be written before it is read twice. A
+    row without a piece holds the tokens of the head and of the pre-tokens that occur nowhere
+    else; the others hold no doc_id, n_bytes and total.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +143,7 @@ def _by_document(texts: DataFrame, model, head, repeated) -> DataFrame:
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         keys, counts = head.value
+        next_row = TaskContext.get().partitionId() << _ROW_BITS
         for rows in slices(batches):
             p = _Pieces(rows)
             at = np.minimum(np.searchsorted(keys, p.key), max(0, len(keys) - 1))
@@ -153,15 +159,15 @@ def _by_document(texts: DataFrame, model, head, repeated) -> DataFrame:
             freq = np.bincount(np.where(same, other, np.arange(len(rest))), minlength=len(rest))
             shown = np.flatnonzero(freq)
             of = p.text[rest[shown]]
-            take = np.concatenate([np.arange(rows.num_rows), of])
-            columns = [rows.column(c).take(pa.array(take)) for c in ("doc_id", "h", "n_bytes")]
+            number = pa.array(next_row + np.concatenate([np.arange(rows.num_rows), of]))
+            next_row += rows.num_rows
+            none = pa.nulls(len(of), pa.int64())
+            columns = [pa.concat_arrays([c, none]) for c in (rows.column("doc_id"), rows.column("n_bytes"), pa.array(total))]
             pieces = pa.concat_arrays([pa.nulls(rows.num_rows, pa.string()), p.strings(rest[shown])])
-            copies = np.concatenate([np.ones(rows.num_rows, np.int64), np.zeros(len(of), np.int64)])
-            sums = np.concatenate([total, np.zeros(len(of), np.int64)])
-            amounts = np.concatenate([np.zeros(rows.num_rows, np.int64), freq[shown]])
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(copies), pa.array(sums), pieces, pa.array(amounts)], ["doc_id", "h", "n_bytes", "copies", "total", "piece", "freq"])
+            amounts = pa.concat_arrays([pa.nulls(rows.num_rows, pa.int64()), pa.array(freq[shown])])
+            yield pa.RecordBatch.from_arrays([number, *columns, pieces, amounts], ["row", "doc_id", "n_bytes", "total", "piece", "freq"])
 
-    return texts.mapInArrow(run, "doc_id long, h long, n_bytes long, copies long, total long, piece string, freq long")
+    return texts.mapInArrow(run, "row long, doc_id long, n_bytes long, total long, piece string, freq long")
 
 
 def count_tokens(
@@ -170,15 +176,14 @@ def count_tokens(
     """Per row of ``docs``: doc_id, n_bytes, n_tokens and whether n_tokens exceeds ``limit``.
 
     Counts are those of the sentencepiece model on the whole text. A null text counts as
-    empty: no bytes, no tokens. Rows are told apart by doc_id and text; of repeated rows
-    each is returned. Other columns are not read. An empty table gives an empty result.
+    empty: no bytes, no tokens. Each row is counted by itself, repeated rows too. Other
+    columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
     text = text_of()
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64(text, F.crc32(text)).alias("h"),
         F.octet_length(text).cast("bigint").alias("n_bytes"),
         F.concat(F.lit(" "), F.translate(text, _MARK, " ")).alias("text"),
     )
@@ -195,19 +200,17 @@ def count_tokens(
     repeated = spark.sparkContext.broadcast(filter_of(keyed, tail.count()))
     found = _by_document(texts, model, spark.sparkContext.broadcast(head), repeated)
     found = materialise(found, "document-pre-tokens")
-    joined = found.filter(F.col("piece").isNotNull()).join(tail.select("piece", "n"), "piece", "left")
-    # the filter knows a few pre-tokens that occur only once
-    strays = _with_counts(joined.filter(F.col("n").isNull()).drop("n"), model)
-    key = ["doc_id", "h", "n_bytes"]
-    amounts = joined.filter(F.col("n").isNotNull()).unionByName(strays)
-    amounts = amounts.select(*key, F.lit(0).cast("bigint").alias("copies"), (F.col("n") * F.col("freq")).alias("total"))
-    every = found.filter(F.col("piece").isNull()).select(*key, "copies", "total").unionByName(amounts)
-    summed = every.groupBy(*key).agg(F.sum("total").alias("total"), F.sum("copies").alias("copies"))
-    # a repeated row's pre-tokens were summed over its copies
-    tokens = F.when(F.col("n_bytes") == 0, 0).otherwise(F.expr("total div copies")).cast("bigint")
-    return summed.select(
-        "doc_id",
-        "n_bytes",
-        tokens.alias("n_tokens"),
-        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("one"),
-    ).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    joined = found.filter(F.col("piece").isNotNull()).select("row", "piece", "freq").join(tail.select("piece", "n"), "piece", "left")
+    # the filter knows a few pre-tokens that occur only once: they keep their frequency until they are tokenised
+    stray = F.when(F.col("n").isNull(), F.col("piece")).alias("stray")
+    joined = joined.select("row", stray, (F.coalesce("n", F.lit(1)) * F.col("freq")).alias("total"))
+    sums = materialise(joined.groupBy("row", "stray").agg(F.sum("total").alias("total")), "pre-token-sums")
+    strays = sums.filter(F.col("stray").isNotNull()).select("row", F.col("stray").alias("piece"), F.col("total").alias("freq"))
+    amounts = sums.filter(F.col("stray").isNull()).select("row", "total")
+    amounts = amounts.unionByName(_with_counts(strays, model).select("row", (F.col("n") * F.col("freq")).alias("total")))
+    of_row = ["doc_id", "n_bytes"]
+    every = found.filter(F.col("piece").isNull()).select("row", *of_row, "total").unionByName(amounts, allowMissingColumns=True)
+    summed = every.groupBy("row").agg(*[F.max(c).alias(c) for c in of_row], F.sum("total").alias("total"))
+    tokens = F.when(F.col("n_bytes") == 0, 0).otherwise(F.col("total")).cast("bigint")
+    counted = summed.select(*of_row, tokens.alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -285,6 +285,20 @@ def test_token_counts(spark, odd, texts):
         assert sorted((r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, MODEL, head_rows=head).collect()) == want
 
 
+def test_token_counts_join_pre_tokens_once(spark):
+    """Repeated rows, equal ids and rows without id are rows of their own, and no join is left after the one by pre-token."""
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [(i // 3, " ".join(f"wörd{(i * j) % 41} once{i}x{j}" for j in range(60))) for i in range(40)]
+    rows += [(7, "wörd1 wörd1  wörd2")] * 3 + [(7, None), (None, "wörd1 wörd3"), (None, None), (8, ""), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((i if i is not None else -1, len((t or "").encode()), len(model.encode(t or ""))) for i, t in rows)
+    for head in (1, 20, 300_000):
+        got = token_counts.count_tokens(docs, MODEL, limit=100, head_rows=head)
+        assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_tokens) for r in got.collect()) == want
+        assert all(r.over_limit == (r.n_tokens > 100) for r in got.collect())
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_url_parts_and_empty_rules(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x?y#z", "x://example.org?q", "x://org/", "x://borg/", "x://m.com/fr/a\nb", "x://com/de/"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
