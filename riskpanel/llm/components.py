@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskpanel.session import materialise
+from riskpanel.session import materialise, temporary_tables
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,17 +25,18 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == tuple(mark):
             break
         seen = tuple(mark)
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "star-minima")
-        large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("m").alias("a"), "b")
-        links = materialise(_ordered(large), "large-star")
-        # every link now runs from a smaller a to a larger b
-        lowest = materialise(links.groupBy("b").agg(F.min("a").alias("m")), "star-minima")
-        joined = links.join(lowest, "b")
-        small = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(
-            lowest.select(F.col("m").alias("a"), "b")
-        )
-        links = materialise(_ordered(small), "small-star")
+        with temporary_tables(links.sparkSession) as keep:
+            both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = materialise(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "star-minima")
+            large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("m").alias("a"), "b")
+            large = materialise(_ordered(large), "large-star")
+            # every link now runs from a smaller a to a larger b
+            lowest = materialise(large.groupBy("b").agg(F.min("a").alias("m")), "star-minima")
+            joined = large.join(lowest, "b")
+            small = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(
+                lowest.select(F.col("m").alias("a"), "b")
+            )
+            links = keep(_ordered(small), "small-star")
     nodes = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return nodes.unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()
 

@@ -15,11 +15,12 @@ fingerprints within distance 2 always name a common value, so no link is lost.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpanel.llm.common import ship
@@ -183,12 +184,13 @@ def links(distinct: DataFrame, hot_rows: int = 256) -> DataFrame:
     """
     plan = plan_groups(distinct)
     exact_keys = [F.struct(F.lit(i).alias("part"), _project(bits).alias("key")) for i, (bits, _) in enumerate(plan)]
-    def probe_keys(i: int, bits: list[int], threshold: int) -> Column:
+
+    def probe_keys(i: int, key: Column, bits: list[int], threshold: int) -> Column:
         flips = F.array(*[F.lit(x).cast("bigint") for x in _flips(bits, threshold)])
-        return F.transform(flips, lambda x: F.struct(F.lit(i).alias("part"), _project(bits).bitwiseXOR(x).alias("key")))
+        return F.transform(flips, lambda x: F.struct(F.lit(i).alias("part"), key.bitwiseXOR(x).alias("key")))
 
     exact = distinct.select("fp", F.inline(F.array(*exact_keys)))
-    probes = distinct.select(F.col("fp").alias("other"), F.inline(F.concat(*[probe_keys(i, bits, t) for i, (bits, t) in enumerate(plan)])))
+    probes = distinct.select(F.col("fp").alias("other"), F.inline(F.concat(*[probe_keys(i, _project(bits), bits, t) for i, (bits, t) in enumerate(plan)])))
     sizes = exact.groupBy("part", "key").agg(F.count("*").alias("c")).filter(F.col("c") > hot_rows)
     hot = materialise(sizes.select("part", "key"), "hot-bit-groups")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= MAX_DISTANCE
@@ -197,11 +199,13 @@ def links(distinct: DataFrame, hot_rows: int = 256) -> DataFrame:
     pairs = probes.join(cool, ["part", "key"]).filter((F.col("other") < F.col("fp")) & near).select(F.col("other").alias("a"), F.col("fp").alias("b"))
     if not has_hot:
         return pairs.distinct()
-    reached = probes.join(hot, ["part", "key"], "left_semi").select(F.col("other").alias("fp")).distinct()
+    # who probes a crowded value has a value within the threshold of it: few values probe, not all fingerprints
+    near_hot = [hot.filter(F.col("part") == i).select(F.inline(probe_keys(i, F.col("key"), bits, t))) for i, (bits, t) in enumerate(plan)]
+    reached = exact.join(reduce(DataFrame.unionByName, near_hot).distinct(), ["part", "key"], "left_semi").select("fp").distinct()
     named = F.array(*[F.lit(x).cast("bigint") for x in _flips(list(range(BITS)), 1)])
     meet = reached.select("fp", F.explode(F.transform(named, lambda x: F.col("fp").bitwiseXOR(x))).alias("value"))
-    least = meet.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("c")).filter(F.col("c") > 1)
-    stars = meet.join(least, "value").filter(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
+    # a value is named by at most 65 fingerprints
+    stars = meet.select(F.min("fp").over(Window.partitionBy("value")).alias("a"), F.col("fp").alias("b")).filter(F.col("a") != F.col("b"))
     return pairs.unionByName(stars).distinct()
 
 

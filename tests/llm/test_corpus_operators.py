@@ -387,6 +387,31 @@ def test_crowded_bit_groups_lose_no_link(spark):
     assert parts(linked[0]) == parts(full)
 
 
+def test_crowded_bit_groups_are_probed_once(spark):
+    """Whether a value is crowded or not, every fingerprint is turned into its probes once only."""
+    generator = np.random.default_rng(5)
+    df = spark.createDataFrame([(int(x),) for x in {int(y) for y in generator.integers(0, 1 << 12, 400)}], "fp long")
+    probed = [simhash.links(df, hot)._jdf.queryExecution().optimizedPlan().toString().count("inline(concat(transform") for hot in (1, 10_000)]
+    assert probed == [1, 1]
+
+
+def test_runs_of_one_text_are_no_members(spark):
+    """Runs that stand in no other row are left out, before anything is joined."""
+    rows = [(i, [5, 1000 + i, -7 - i, 6 + i % 2]) for i in range(50)] + [(90, []), (91, [77]), (91, [77])]
+    got = {(r.h, r["class"], r.pos) for r in near_dedup._rare_members(spark.createDataFrame(rows, "h long, rare array<long>")).collect()}
+    want = {(h, x, i) for h, rare in rows for i, x in enumerate(rare) if x in (5, 6, 7, 77)}
+    assert want <= got and len(got) < len(want) + 20
+
+
+def test_only_texts_of_pairs_are_compared(spark):
+    rows = [(i, bytes([i % 256]) * 3) for i in range(-300, 300)]
+    texts = spark.createDataFrame(rows, "h long, packed binary").withColumn("h", F.xxhash64("h"))
+    pairs = texts.limit(20).select("h", F.lit(5).cast("long").alias("own_h"))
+    ids = pairs.select(F.explode(F.array("h", "own_h")).alias("fp"))
+    left = near_dedup._known(ids, 40, ["h", "packed"])(texts.withColumn("fp", F.col("h"))).collect()
+    assert {r.h for r in pairs.collect()} <= {r.h for r in left} and len(left) < 40
+
+
 def test_near_dedup_keeps_one(spark, texts):
     base = next(t for t in texts.values() if 200 < len(t.split()) < 400).split()
     copies = [(i, " ".join(w if j % 100 != i else "changed" for j, w in enumerate(base))) for i in range(20, 40)]
