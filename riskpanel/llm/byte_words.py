@@ -121,6 +121,13 @@ class Words:
         other = one_of_equal(self.hashes(self.start, self.end))
         return np.where(same_bytes(self.data, self.start, self.end, other), other, np.arange(len(other)))
 
+    def marks(self) -> np.ndarray:
+        """A second hash of each word that has nothing in common with ``hashes``: a sum of one number per byte and place."""
+        place = np.arange(len(self.data)) - np.repeat(self.start, np.diff(np.append(self.start, len(self.data))))
+        sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(mixed(self.data + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(1)), out=sums[1:])
+        return mixed(sums[self.end] - sums[self.start])
+
 
 def one_of_equal(keys: np.ndarray) -> np.ndarray:
     """For each key the place of an equal one, the same for all of them."""
@@ -277,10 +284,10 @@ def filter_of(found: DataFrame, rows: int) -> Filter:
     return Filter(bits)
 
 
-def seeds(names: pa.Array) -> np.ndarray:
+def seeds(names: pa.Array, seed: int = 0) -> np.ndarray:
     """A hash of each name, to tell apart what is counted per name."""
     from xxhash import xxh64_intdigest
 
     coded = names.dictionary_encode()
-    each = np.array([xxh64_intdigest(n) for n in coded.dictionary.to_pylist()] or [0], np.uint64)
+    each = np.array([xxh64_intdigest(n, seed) for n in coded.dictionary.to_pylist()] or [0], np.uint64)
     return each[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)] if len(names) else np.zeros(0, np.uint64)

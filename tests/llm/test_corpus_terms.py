@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from riskpanel import session
 from riskpanel.llm import byte_words, divergence, language_id, phrases, queries
 
 SF = "/root/testdata/sf0.001"
@@ -111,6 +112,42 @@ def test_colliding_fingerprints_change_nothing(spark, odd_rows, monkeypatch):
     assert counted == Counter(spelled)
 
 
+@pytest.mark.parametrize("bits", [3, 64])
+def test_phrases_are_spelled_once_whatever_collides(spark, odd_rows, bits, monkeypatch):
+    """Every frequent phrase is one row of one task, and fingerprints of three bits give the same phrases."""
+    written = {}
+
+    def materialise(df, label="table"):
+        written[label] = session.materialise(df, label)
+        return written[label]
+
+    monkeypatch.setattr(phrases, "materialise", materialise)
+    docs = table(spark, odd_rows * 8).repartition(8)
+    got = {tuple(r) for r in phrases.frequent_phrases(docs, 4, 3, bits=bits).collect()}
+    counts, total = Counter(), Counter()
+    for _, text, lang, _ in odd_rows:
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            w = [x for x in re.split(r"[ \t]+", piece) if x]
+            total[lang or "und"] += 8 * len(w)
+            for size in range(1, 5):
+                for i in range(len(w) - size + 1):
+                    counts[lang or "und", size, " ".join(w[i : i + size])] += 8
+    assert got == {(*k, n) for k, n in counts.items()} | {(x, 0, "", n) for x, n in total.items()}
+    rows = written["spelled-phrases"].filter("words > 0").count()
+    if bits == 64:
+        assert len(counts) <= rows < 2 * len(counts) and "missing-phrases" not in written
+
+
+def test_phrases_of_rows_dealt_anew(spark, odd_rows, monkeypatch):
+    """An owner that reads other rows the second time lacks its phrases: the tasks that hold them spell them out."""
+    written = []
+    monkeypatch.setattr(phrases, "materialise", lambda df, label="table": (written.append(label), session.materialise(df, label))[1])
+    anywhere = F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+    moved = table(spark, odd_rows).withColumn("r", anywhere()).repartition(8, "r")
+    assert {tuple(r) for r in phrases.collocations(moved, 4, 3).collect()} == phrases_by_hand(odd_rows, 4, 3)
+    assert "missing-phrases" in written
+
+
 def audit_by_hand(rows, least, top):
     docs, count, groups = Counter(), Counter(), set()
     for _, text, lang, source in rows:
