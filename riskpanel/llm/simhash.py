@@ -31,6 +31,7 @@ BITS = 64
 MAX_DISTANCE = 2
 _SEED = 42
 _HASHES_AT_ONCE = 1 << 16
+_PRINTS_AT_ONCE = 1 << 17  # fingerprints of a task that makes several rows of each
 
 
 def word_starts(data: bytes, shingle: int) -> tuple[bytes, list[int], list[int]]:
@@ -144,11 +145,12 @@ def plan_groups(distinct: DataFrame) -> list[tuple[list[int], int]]:
     """The bit groups and thresholds that are expected to cost least over all fingerprints."""
     n, correlation = _correlations(distinct)
     cuts = {m: _bit_groups(correlation, m) for m in (1, 2, 3)}
-    named = [(m, i, bits) for m, groups in cuts.items() for i, bits in enumerate(groups)]
-    values = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), _project(bits).alias("v")) for m, i, bits in named])
-    sizes = distinct.select(F.explode(values).alias("s")).groupBy("s").agg(F.count("*").alias("c"))
-    pairs = sizes.groupBy("s.m", "s.i").agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2).alias("pairs")).collect()
-    equal = {(r["m"], r["i"]): r["pairs"] for r in pairs}  # six rows
+    # a group of all bits has no equal values
+    named = [(m, i, bits) for m, groups in cuts.items() if m > 1 for i, bits in enumerate(groups)]
+    values = F.array(*[F.struct(F.lit(k).alias("k"), _project(bits).alias("v")) for k, (m, i, bits) in enumerate(named)])
+    sizes = distinct.select(F.inline(values)).groupBy("k", "v").agg(F.count("*").alias("c"))
+    pairs = sizes.groupBy("k").agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2).alias("pairs")).collect()
+    equal = {named[r["k"]][:2]: r["pairs"] for r in pairs}  # five rows
     options = []
     for m, groups in cuts.items():
         costs = []
@@ -175,6 +177,15 @@ def _flips(bits: list[int], threshold: int) -> list[int]:
     return masks
 
 
+def _dealt(distinct: DataFrame) -> DataFrame:
+    """The fingerprints in partitions of some ``_PRINTS_AT_ONCE`` each, whatever the size of the files.
+
+    Every one becomes several rows with hardly an equal one among them, all of which a task
+    holds when it counts them.
+    """
+    return distinct.select("fp").repartition(-(-distinct.count() // _PRINTS_AT_ONCE) or 1, "fp")
+
+
 def links(distinct: DataFrame, hot_rows: int = 256) -> DataFrame:
     """Links (a, b) between distinct fingerprints that join exactly those within distance 2.
 
@@ -182,6 +193,7 @@ def links(distinct: DataFrame, hot_rows: int = 256) -> DataFrame:
     joins fingerprints further apart. Group values held by more than ``hot_rows``
     fingerprints are linked through common neighbours instead of pairs.
     """
+    distinct = _dealt(distinct)
     plan = plan_groups(distinct)
     exact_keys = [F.struct(F.lit(i).alias("part"), _project(bits).alias("key")) for i, (bits, _) in enumerate(plan)]
 

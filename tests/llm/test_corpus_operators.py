@@ -395,6 +395,22 @@ def test_crowded_bit_groups_are_probed_once(spark):
     assert probed == [1, 1]
 
 
+def test_a_task_holds_few_of_the_fingerprints_that_become_several_rows(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    values = np.unique(np.concatenate([(x := rng.integers(0, 1 << 63, 900)), x[:100] ^ (1 << 40), x[:50] ^ 5])).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "fp long").coalesce(1)
+    near = {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2}
+    counted = []
+    grouped = type(df).groupBy
+    monkeypatch.setattr(simhash, "_PRINTS_AT_ONCE", 100, raising=False)
+    monkeypatch.setattr(type(df), "groupBy", lambda self, *c: (counted.append(self), grouped(self, *c))[1])
+    found = {tuple(sorted(r)) for r in simhash.links(df, 10_000).collect()}
+    monkeypatch.undo()
+    assert found == near and len(near) >= 150
+    sizes = [x.rdd.glom().map(len).collect() for x in counted if x.columns in (["s"], ["k", "v"], ["fp", "part", "key"])]
+    assert len(sizes) == 2 and all(max(x) < len(values) * 5 / 4 for x in sizes)
+
+
 def test_runs_of_one_text_are_no_members(spark):
     """Runs that stand in no other row are left out, before anything is joined."""
     rows = [(i, [5, 1000 + i, -7 - i, 6 + i % 2]) for i in range(50)] + [(90, []), (91, [77]), (91, [77])]
