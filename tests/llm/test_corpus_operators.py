@@ -411,6 +411,22 @@ def test_a_task_holds_few_of_the_fingerprints_that_become_several_rows(spark, mo
     assert len(sizes) == 2 and all(max(x) < len(values) * 5 / 4 for x in sizes)
 
 
+def test_no_stage_has_two_python_steps_for_texts(spark):
+    """Texts are chosen and compressed in one step, and compared behind a shuffle, however few they are."""
+    import zstandard
+
+    texts = spark.createDataFrame([(i, 10 * i, f"a b c d e f {i % 2} g") for i in range(40)], "fp long, h long, text string")
+    ids = texts.filter("fp in (3, 5, 6)").select("fp")
+    packed = near_dedup._compressed(texts, ids, 3)
+    got = {r.h: zstandard.ZstdDecompressor().decompress(r.packed).decode() for r in packed.collect()}
+    assert {30, 50, 60} <= set(got) and len(got) < 10 and all(got[10 * i] == f"a b c d e f {i % 2} g" for i in (3, 5, 6))
+    assert packed._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    close = near_dedup._close(spark.createDataFrame([(30, 50), (50, 60)], "h long, own_h long"), packed, 5, 0.8)
+    assert [tuple(r) for r in close.collect()] == [(30, 50)]
+    plan = close._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_runs_of_one_text_are_no_members(spark):
     """Runs that stand in no other row are left out, before anything is joined."""
     rows = [(i, [5, 1000 + i, -7 - i, 6 + i % 2]) for i in range(50)] + [(90, []), (91, [77]), (91, [77])]
